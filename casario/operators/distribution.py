@@ -57,7 +57,7 @@ def quantiles(
     """Exact quantiles with linear interpolation, from the rows of `value_counts`.
 
     `wanted` maps an output column to its measure and probability.  NULL and NaN values
-    are left out.  One row per group.
+    are left out.  One row per group, in double precision.
     """
     group = [*keys, "measure"]
     probs = sorted({p for _, p in wanted.values()})
@@ -92,7 +92,11 @@ def quantiles(
         lambda a, b: a & b,
         [F.col(name).eqNullSafe(F.col(f"hit_{name}")) for name in [*group, "bin"]],
     )
-    inside = weighed.join(hit, same_bin).select(*group, "bin", "value", "n", "before", "total")
+    # Hits are a few rows per group, so they are the side to hash; no sort is needed, and
+    # nothing is broadcast, whatever the number of groups.
+    inside = weighed.join(hit.hint("shuffle_hash"), same_bin).select(
+        *group, "bin", "value", "n", "before", "total"
+    )
     rising_inside = Window.partitionBy(*group, "bin").orderBy("value")
     ranked = inside.withColumn(
         "upto", F.col("before") + F.sum("n").over(rising_inside)
@@ -109,7 +113,7 @@ def quantiles(
         ]
         gap = (F.col(high) - F.col(low)).cast("double")
         step = F.when(F.col(part) > 0, gap * F.col(part)).otherwise(F.lit(0.0))
-        results.append((F.col(low) + step).cast("float").alias(name))
+        results.append((F.col(low).cast("double") + step).alias(name))
     return ranked.groupBy(*keys).agg(*picks).select(*keys, *results)
 
 

@@ -26,10 +26,10 @@ def plausible(
     ranges: Mapping[str, tuple[int, int]] = RANGES,
 ) -> DataFrame:
     """Rows with a price above the limit and every count or size in its closed range."""
-    kept = df.where(F.col("preco") > price_above)
+    test = F.col("preco") > price_above
     for name, (low, high) in ranges.items():
-        kept = kept.where(F.col(name).between(low, high))
-    return kept
+        test = test & F.col(name).between(low, high)
+    return df.where(test)
 
 
 def filter_listings(

@@ -129,6 +129,7 @@ def mart(
     """Statistics per group and month, with the change of the median price per m².
 
     "The month before" is the last month in which the group had enough listings.
+    Medians are single precision, as the prices are; means are double.
     """
     keys = ["date_ref", *by]
     counts = value_counts(
@@ -149,7 +150,7 @@ def mart(
     )
     kept = merge_groups(keys, stats, middle).where(F.col("qtd_imoveis") > min_listings)
     for name in ("preco_mediano", "preco_m2_mediano"):
-        kept = kept.withColumn(name, round_half_away(F.col(name)).cast("float"))
+        kept = kept.withColumn(name, round_half_away(F.col(name).cast("float")).cast("float"))
     changed = kept.withColumn(
         "variacao_m2_pct", change_or_zero("preco_m2_mediano", lag_by or by)
     )

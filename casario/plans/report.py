@@ -50,7 +50,9 @@ def kpis(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"), mean("preco").alias("preco_medio")
     )
     middle = quantiles(counts, [], {"preco_mediano": ("preco", 0.5)})
-    row = merge_groups([], basic, middle)
+    row = merge_groups([], basic, middle).withColumn(
+        "preco_mediano", F.col("preco_mediano").cast("float")
+    )
     return row.select(
         "total",
         round_half_away(F.col("preco_medio")).alias("preco_medio"),
@@ -181,7 +183,7 @@ def describe_price(df: DataFrame, column: str = "preco") -> DataFrame:
     quarters = quantiles(
         counts, [], {"m2": (column, 0.25), "m3": (column, 0.5), "m4": (column, 0.75)}
     )
-    row = merge_groups([], basic, quarters)
+    row = merge_groups([], basic, quarters).withColumn("m3", F.col("m3").cast("float"))
     cells = [
         cell
         for i, label in enumerate(MEASURES)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from casario.operators.location import NO, OTHER_REGION, YES
 from casario.plans.layers import mart_localizacao, mart_tipo, obt, silver
+from casario.sources import spread
 
 # One neighbourhood per nation: all regions, spelling variants, and names that match none.
 PLACES = [
@@ -23,8 +24,24 @@ PLACES = [
 MONTH = "1997-05"
 
 
+# Declared, so that opening a table costs no job to infer its columns.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_extendedprice double"
+    ),
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def place(nation: Column) -> Column:
@@ -41,7 +58,7 @@ def listings_raw(spark: SparkSession, sf: str) -> DataFrame:
     Lines of every 13th order are listed again in the following month.
     """
     lines = (
-        table(spark, sf, "lineitem")
+        spread(table(spark, sf, "lineitem"))
         .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))

@@ -208,7 +208,7 @@ def movers(direction: str) -> str:
 
 TREND = """
 trend AS (
-    SELECT date_ref, CAST(median(preco) AS DOUBLE) AS preco_mediano
+    SELECT date_ref, median(CAST(preco AS DOUBLE)) AS preco_mediano
     FROM {source} WHERE date_ref IS NOT NULL GROUP BY date_ref
 ), changed AS (
     SELECT *, lag(preco_mediano) OVER (ORDER BY date_ref) AS before FROM trend
@@ -248,7 +248,7 @@ def describe() -> str:
         ("Média", f"avg({price})"),
         ("Desvio Padrão", f"stddev_samp({price})"),
         ("Quartil 1", f"quantile_cont({price}, 0.25)"),
-        ("Quartil 2 (Mediana)", f"median({price})"),
+        ("Quartil 2 (Mediana)", "median(preco)"),
         ("Quartil 3", f"quantile_cont({price}, 0.75)"),
         ("Mínimo", f"min({price})"),
         ("Máximo", f"max({price})"),
@@ -486,13 +486,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "top_m2": sql(
             _TO_OBT,
-            """SELECT localizacao, CAST(median(preco_m2) AS DOUBLE) AS preco_m2 FROM obt
+            """SELECT localizacao, median(CAST(preco_m2 AS DOUBLE)) AS preco_m2 FROM obt
             WHERE localizacao IS NOT NULL GROUP BY localizacao ORDER BY 2 DESC, 1 LIMIT 5""",
         ),
         "location_rank": sql(
             _TO_OBT,
             f"""SELECT localizacao, {half_away('avg(preco)')} AS preco_medio,
-                CAST(median(preco_m2) AS DOUBLE) AS m2_mediano FROM obt
+                median(CAST(preco_m2 AS DOUBLE)) AS m2_mediano FROM obt
             WHERE localizacao IS NOT NULL GROUP BY localizacao""",
         ),
         "top_gainers": movers("DESC"),
