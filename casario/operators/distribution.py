@@ -5,7 +5,7 @@ which a very large group outgrows.  Here a group is first reduced to value count
 spread over the cluster by value.  Ranks are found on coarse bins of those counts, and
 only the bins that hold a wanted rank are sorted.
 
-Values are single precision, as listing prices are: that bounds a bin to about twelve
+Values are single precision, as listing prices are: that bounds a bin to about 23
 thousand distinct values however many listings there are.
 """
 

@@ -102,10 +102,10 @@ def attributes(html: Column, tag: str, name: str) -> Column:
 
 def resolve(base: Column, link: Column) -> Column:
     """Absolute form of a link found on the page `base`."""
-    site = F.concat(F.parse_url(base, F.lit("PROTOCOL")), F.lit("://"),
-                    F.parse_url(base, F.lit("AUTHORITY")))
+    site = F.concat(F.try_parse_url(base, F.lit("PROTOCOL")), F.lit("://"),
+                    F.try_parse_url(base, F.lit("AUTHORITY")))
     page = F.regexp_replace(base, r"[?#].*$", "")
-    path = F.coalesce(F.parse_url(base, F.lit("PATH")), F.lit(""))
+    path = F.coalesce(F.try_parse_url(base, F.lit("PATH")), F.lit(""))
     folder = F.regexp_replace(path, r"[^/]*$", "")
     suffix = F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
     target = F.regexp_extract(link, r"^([^?#]*)", 1)
@@ -114,7 +114,7 @@ def resolve(base: Column, link: Column) -> Column:
     )
     return (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(F.parse_url(base, F.lit("PROTOCOL")), F.lit(":"), link))
+        .when(link.startswith("//"), F.concat(F.try_parse_url(base, F.lit("PROTOCOL")), F.lit(":"), link))
         .when(link == "", F.regexp_replace(base, r"#.*$", ""))
         .when(link.startswith("#"), F.concat(F.regexp_replace(base, r"#.*$", ""), link))
         .when(link.startswith("?"), F.concat(page, link))
@@ -150,7 +150,7 @@ def next_link(url: Column, html: Column, page: Column, last_page: int) -> Column
 
 def on_hosts(url: Column, hosts: Sequence[str]) -> Column:
     """Whether an address is on one of the hosts or below it."""
-    host = F.lower(F.parse_url(url, F.lit("HOST")))
+    host = F.lower(F.try_parse_url(url, F.lit("HOST")))
     tests = [(host == name) | host.endswith(f".{name}") for name in hosts]
     result = tests[0]
     for test in tests[1:]:

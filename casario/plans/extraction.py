@@ -25,21 +25,31 @@ FIELDS = FEED.fieldNames()
 
 
 @dataclass(frozen=True)
-class Pick:
-    """Where a field stands: text nodes of `pattern` (inside `within`), and which one."""
+class Texts:
+    """A list of text nodes on a card: under `pattern`, inside `within` if given."""
 
     pattern: str
-    within: str | None
+    within: str | None = None
+
+    def read(self, card: Column) -> Column:
+        return texts(card, self.pattern, self.within)
+
+
+@dataclass(frozen=True)
+class Pick:
+    """A field: one entry of a text list, counted from either end, and its cleaning."""
+
+    source: str
     index: int
     clean: Callable[[Column], Column] = lambda text: text
 
-    def read(self, card: Column) -> Column:
-        return self.clean(at(texts(card, self.pattern, self.within), self.index))
+    def read(self) -> Column:
+        return self.clean(at(F.col(self.source), self.index))
 
 
 @dataclass(frozen=True)
 class PortalSpec:
-    """What differs between portals: addresses, card tag and field positions."""
+    """What differs between portals: addresses, card tag, text lists, field positions."""
 
     name: str
     hosts: tuple[str, ...]
@@ -47,30 +57,47 @@ class PortalSpec:
     categories: Mapping[str, str]
     last_page: int
     card: str
+    lists: Mapping[str, Texts]
     picks: Mapping[str, Pick]
     numbered_pages: bool = True
 
 
-# Class names, attributes and positions of the portals' page layouts.
-_A_ADDRESS = element("address", ["style-module__PkTDxW__address"])
-_A_ROOMS = element("span", ["style-module__PkTDxW__list"])
-_A_FEE = element("p", ["column", "style-module__PkTDxW__price"])
-_B_ROOMS = element(
-    "ul", ["flex", "flex-row", "text-1-75", "text-neutral-110", "text-nowrap", "gap-3"]
-)
-_B_PLACE = element("h2", attrs={"data-cy": "rp-cardProperty-location-txt"})
-_B_PRICES = element("div", ["shrink", "grow", "text-nowrap", "min-w-0"])
-
 _TRIMMED: Callable[[Column], Column] = lambda text: clean_location(text, trim=True)
 
+# Class names, attributes and positions of the portals' page layouts.
+_A_LISTS = {
+    "rooms": Texts(element("p"), element("span", ["style-module__PkTDxW__list"])),
+    "place": Texts(element("p"), element("address", ["style-module__PkTDxW__address"])),
+    "price": Texts(element("b"), element("p")),
+    "fee": Texts(element("small"), element("p", ["column", "style-module__PkTDxW__price"])),
+}
+_A_PICKS = {
+    "preco": Pick("price", 0, clean_price),
+    "localizacao": Pick("place", 1, clean_location),
+    "area": Pick("rooms", 1),
+    "quartos": Pick("rooms", 3),
+    "vagas": Pick("rooms", 5),
+    "banheiros": Pick("rooms", 7),
+    "condo": Pick("fee", 1, clean_price),
+}
+_B_LISTS = {
+    "rooms": Texts(
+        element("h3"),
+        element(
+            "ul", ["flex", "flex-row", "text-1-75", "text-neutral-110", "text-nowrap", "gap-3"]
+        ),
+    ),
+    "place": Texts(element("h2", attrs={"data-cy": "rp-cardProperty-location-txt"})),
+    "price": Texts(element("p"), element("div", ["shrink", "grow", "text-nowrap", "min-w-0"])),
+}
 _B_PICKS = {
-    "preco": Pick(element("p"), _B_PRICES, 0, clean_price),
-    "localizacao": Pick(_B_PLACE, None, -1, _TRIMMED),
-    "area": Pick(element("h3"), _B_ROOMS, 0, first_token),
-    "quartos": Pick(element("h3"), _B_ROOMS, 1),
-    "banheiros": Pick(element("h3"), _B_ROOMS, 2),
-    "vagas": Pick(element("h3"), _B_ROOMS, 3),
-    "condo": Pick(element("p"), _B_PRICES, 1),
+    "preco": Pick("price", 0, clean_price),
+    "localizacao": Pick("place", -1, _TRIMMED),
+    "area": Pick("rooms", 0, first_token),
+    "quartos": Pick("rooms", 1),
+    "banheiros": Pick("rooms", 2),
+    "vagas": Pick("rooms", 3),
+    "condo": Pick("price", 1),
 }
 
 PORTALS = (
@@ -85,15 +112,8 @@ PORTALS = (
         },
         last_page=99,
         card=open_tag("span", ["card-module__1awNxG__cardContent"]),
-        picks={
-            "preco": Pick(element("b"), element("p"), 0, clean_price),
-            "localizacao": Pick(element("p"), _A_ADDRESS, 1, clean_location),
-            "area": Pick(element("p"), _A_ROOMS, 1),
-            "quartos": Pick(element("p"), _A_ROOMS, 3),
-            "vagas": Pick(element("p"), _A_ROOMS, 5),
-            "banheiros": Pick(element("p"), _A_ROOMS, 7),
-            "condo": Pick(element("small"), _A_FEE, 1, clean_price),
-        },
+        lists=_A_LISTS,
+        picks=_A_PICKS,
         numbered_pages=False,
     ),
     PortalSpec(
@@ -107,6 +127,7 @@ PORTALS = (
         },
         last_page=50,
         card=open_tag("li", attrs={"data-cy": "rp-property-cd"}),
+        lists=_B_LISTS,
         picks=_B_PICKS,
     ),
     PortalSpec(
@@ -120,6 +141,7 @@ PORTALS = (
         },
         last_page=50,
         card=open_tag("div", ["flex", "flex-col", "content-stretch"]),
+        lists=_B_LISTS,
         picks=_B_PICKS,
     ),
 )
@@ -181,22 +203,37 @@ def extract_listings(
     """Feed records of all cards on the pages, plus the page columns named in `keep`.
 
     `pages` has url, html, portal, tipo and page.  One pass serves all portals: the
-    portal column chooses the layout row by row.
+    portal column chooses the layout row by row.  Each text list of a card is read once
+    and its entries are picked afterwards.
     """
 
-    def by_portal(choose: Callable[[PortalSpec], Column]) -> Column:
+    def by_portal(choose: Callable[[PortalSpec], object], build: Callable[..., Column]) -> Column:
+        """Value by portal; portals with the same layout share a branch."""
+        layouts: dict[object, list[str]] = {}
+        for spec in portals:
+            layouts.setdefault(choose(spec), []).append(spec.name)
         result = F.lit(None)
-        for spec in reversed(portals):
-            result = F.when(F.col("portal") == spec.name, choose(spec)).otherwise(result)
+        for layout, names in layouts.items():
+            if layout is not None:
+                result = F.when(F.col("portal").isin(names), build(layout)).otherwise(result)
         return result
 
     carried = list(dict.fromkeys(["portal", "tipo", *keep]))
-    found = by_portal(lambda spec: card_list(F.col("html"), spec.card))
+    found = by_portal(lambda spec: spec.card, lambda card: card_list(F.col("html"), card))
     each = pages.select(*carried, F.explode(found).alias("card"))
-    read = {
-        name: by_portal(lambda spec, name=name: spec.picks[name].read(F.col("card")))
+    sources = list(dict.fromkeys(name for spec in portals for name in spec.lists))
+    lists = each.select(
+        *carried,
+        *[
+            by_portal(lambda spec, name=name: spec.lists.get(name),
+                      lambda source: source.read(F.col("card"))).alias(name)
+            for name in sources
+        ],
+    )
+    fields = [
+        F.col(name)
+        if name == "tipo"
+        else by_portal(lambda spec, name=name: spec.picks[name], lambda pick: pick.read()).alias(name)
         for name in FIELDS
-        if name != "tipo"
-    }
-    fields = [F.col(name) if name == "tipo" else read[name].alias(name) for name in FIELDS]
-    return each.select(*fields, *[name for name in keep if name not in FIELDS])
+    ]
+    return lists.select(*fields, *[name for name in keep if name not in FIELDS])

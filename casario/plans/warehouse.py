@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from casario.operators import not_null, unique
 from casario.plans.layers import bronze, mart_localizacao, mart_tipo, obt, silver, stamped
-from casario.sources import replace_partitions, save_table
+from casario.sources import replace_partition, save_table
 
 
 @dataclass(frozen=True)
@@ -80,11 +80,10 @@ def load_month(
     month = silver(bronze(raw).where(F.col("date_ref") == date_ref), keys=("id",))
     if n != int(spark.conf.get("spark.sql.shuffle.partitions")):
         month = month.repartition(n, "id")
-    table = f"{names.silver_db}.{names.silver}"
-    if spark.catalog.tableExists(table):
-        written = replace_partitions(stamped(month), names.silver_db, names.silver)
-        if not written:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (date_ref='{date_ref}')")
+    if spark.catalog.tableExists(f"{names.silver_db}.{names.silver}"):
+        written = replace_partition(
+            stamped(month), names.silver_db, names.silver, "date_ref", date_ref
+        )
     else:
         written = save_table(
             stamped(month), names.silver_db, names.silver, ["date_ref"], (n, "id")

@@ -33,7 +33,8 @@ def read_listings(
         feed = reader.option("pathGlobFilter", "*.json").json(path)
     elif layout == "lines":
         text = spark.read.option("pathGlobFilter", "*.json").text(path)
-        bare = F.regexp_replace("value", r"^\s*\[?\s*|\s*[,\]]*\s*$", "")
+        opened = F.regexp_replace("value", r"^\s*\[?\s*", "")
+        bare = F.regexp_replace(opened, r"[,\]\s]*$", "")
         record = F.from_json(bare, FEED, {"mode": "FAILFAST"})
         feed = text.where(bare != "").select(record.alias("r"), "_metadata").select("r.*", "_metadata")
     else:

@@ -46,11 +46,17 @@ def save_table(
     return seen.get["rows"]
 
 
-def replace_partitions(df: DataFrame, db: str, name: str) -> int:
-    """Replace only the partitions that occur in `df`; other months stay as they are."""
-    table = f"{db}.{name}"
-    counted, seen = _counted(df.select(*df.sparkSession.table(table).columns))
-    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+def replace_partition(df: DataFrame, db: str, name: str, column: str, value: str) -> int:
+    """Replace one partition of a table by `df`; the others stay as they are."""
+    spark, table = df.sparkSession, f"{db}.{name}"
+    others = [c for c in spark.table(table).columns if c != column]
+    counted, seen = _counted(df.select(*others))
+    literal = value.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = '{literal}') "
+        "SELECT * FROM {rows}",
+        rows=counted,
+    )
     return seen.get["rows"]
 
 

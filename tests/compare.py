@@ -9,6 +9,9 @@ from pathlib import Path
 import duckdb
 
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in sorted(Path(sf_dir).glob("*.parquet")):
@@ -34,6 +37,10 @@ def differences(spark, con, name, query, sql, sf_dir) -> list[str]:
     want = result.fetchall()
     if sorted(names) != sorted(frame.columns):
         return [f"{name}: columns {sorted(frame.columns)} against {sorted(names)}"]
+    types = {name: TYPES.get(kind, kind) for name, kind in frame.dtypes}
+    wrong = [(d[0], types[d[0]], str(d[1])) for d in result.description if types[d[0]] != str(d[1])]
+    if wrong:
+        return [f"{name}: types {wrong}"]
     ours = bag(got, [frame.columns.index(c) for c in sorted(names)])
     theirs = bag(want, [names.index(c) for c in sorted(names)])
     found = []

@@ -1,0 +1,163 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from casario.plans import layers
+from casario.plans.warehouse import Names, build_warehouse, check_warehouse, load_month
+from casario.sources import folder_table, query_data, read_listings, save_table, write_feed
+from helpers import LISTING, column, listings
+
+RECORD = {k: v for k, v in LISTING.items() if k not in ("origem", "date_ref")}
+
+
+@pytest.fixture
+def folder(tmp_path):
+    path = tmp_path / "abril-x"
+    (path / "deeper").mkdir(parents=True)
+    dump = lambda name, *rows: (path / name).write_text(
+        json.dumps(rows, ensure_ascii=False), encoding="utf-8"
+    )
+    dump("a_chaves.json", {**RECORD, "preco": 350000.0, "tipo": "Condomínio"}, RECORD)
+    dump("B_ZAP.json", dict(reversed(RECORD.items())))
+    dump("other.json", {"preco": "1", "extra": True})
+    dump("skip.txt", RECORD)
+    dump("deeper/zap.json", RECORD)
+    return str(path)
+
+
+def test_feeds(spark, folder):
+    raw = read_listings(spark, folder, "2025-04")
+    assert raw.columns == [*["preco", "tipo", "localizacao", "area", "quartos", "banheiros",
+                             "vagas", "condo"], "origem", "date_ref"]
+    assert {t for _, t in raw.dtypes} == {"string"}
+    rows = sorted((r.origem, r.preco, r.tipo) for r in raw.collect() if r.tipo)
+    assert rows == [
+        ("Chaves na Mão", "350000.0", "Condomínio"), ("Chaves na Mão", "R$ 350.000", "Casa"),
+        ("ZAP Imóveis", "R$ 350.000", "Casa"),
+    ]
+    [odd] = raw.where("tipo is null").collect()
+    assert (odd.origem, odd.preco, odd.area, odd.date_ref) == ("Origem Desconhecida", "1", None, "2025-04")
+    assert folder_table(folder) == "abril" and folder_table("/x/maio") == "maio"
+
+
+def test_malformed_feed_fails(spark, tmp_path):
+    (tmp_path / "zap.json").write_text('[{"preco": "1"')
+    with pytest.raises(Exception):
+        read_listings(spark, str(tmp_path), "2025-04").collect()
+    with pytest.raises(Exception):
+        read_listings(spark, str(tmp_path), "2025-04", layout="lines").collect()
+
+
+def test_line_layout_reads_arrays_and_plain_lines(spark, tmp_path):
+    lines = [json.dumps({**RECORD, "area": str(i)}) for i in range(4)]
+    (tmp_path / "zap.json").write_text("[\n" + ",\n".join(lines[:2]) + "\n]\n")
+    (tmp_path / "chaves.json").write_text("[" + lines[2] + "]\n\n" + lines[3] + "\n")
+    raw = read_listings(spark, str(tmp_path), "2025-04", layout="lines")
+    assert sorted((r.origem, r.area) for r in raw.collect()) == [
+        ("Chaves na Mão", "2"), ("Chaves na Mão", "3"), ("ZAP Imóveis", "0"), ("ZAP Imóveis", "1"),
+    ]
+
+
+def test_feed_round_trip(spark, tmp_path):
+    out = str(tmp_path / "zap")
+    records = spark.createDataFrame(
+        [("1", "Condomínio", None)], "preco string, tipo string, area string"
+    )
+    write_feed(records, out)
+    text = "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "zap").glob("*.json"))
+    assert json.loads(text) == {"preco": "1", "tipo": "Condomínio", "area": None}
+    back = read_listings(spark, out, "2025-04", layout="lines").collect()
+    assert [(r.tipo, r.area) for r in back] == [("Condomínio", None)]
+
+
+def test_tables_are_replaced_and_counted(spark):
+    assert save_table(spark.range(5), "t_db", "numbers") == 5
+    assert save_table(spark.range(3).withColumn("x", F.lit(1)), "t_db", "numbers") == 3
+    assert spark.table("t_db.numbers").columns == ["id", "x"]
+
+
+def test_query_data(spark):
+    frame = spark.createDataFrame([(10.0, 4), (1.0, 2)], "preco float, area int")
+    got = query_data(spark, "SELECT preco / area AS m2 FROM {t} WHERE preco > {low}", t=frame, low=5)
+    assert column(got, "m2") == [2.5]
+    cached = query_data(spark, "SELECT * FROM {t}", cache=True, t=frame)
+    assert cached.is_cached
+    cached.unpersist()
+    with pytest.raises(AnalysisException):
+        query_data(spark, "SELECT nothing FROM {t}", t=frame)
+
+
+MONTHS = ["2025-04", "2025-05", "2025-06"]
+
+
+def three_months(spark):
+    rows = [
+        {"date_ref": month, "preco": f"R$ {200 + 50 * k + i}.000", "localizacao": place,
+         "tipo": "Casa" if i % 2 else "Apartamento"}
+        for k, month in enumerate(MONTHS)
+        for place in ("Aldeota, F", "Messejana, F")
+        for i in range(30)
+    ]
+    again = [{**row, "date_ref": "2025-05"} for row in rows[:10]]
+    return listings(spark, *rows, *again, {"localizacao": None}, {"localizacao": None, "area": "90"})
+
+
+def as_set(df):
+    return sorted(map(str, df.drop("ingestion_timestamp").collect()))
+
+
+def test_build(spark):
+    raw, names = three_months(spark), Names(db="built")
+    rows = build_warehouse(raw, names)
+    cleaned = layers.silver(layers.bronze(raw))
+    gold = layers.obt(cleaned)
+    assert rows["silver"] == cleaned.count() and rows["obt"] == gold.count()
+    assert spark.table("built_bronze_listings").count() == raw.count()
+    silver_table = spark.table("built_silver.listings")
+    assert as_set(silver_table.select(cleaned.columns)) == as_set(cleaned)
+    assert as_set(spark.table("built_gold.obt")) == as_set(gold)
+    assert as_set(spark.table("built_gold.mart_tipo")) == as_set(layers.mart_tipo(gold))
+    assert as_set(spark.table("built_gold.mart_localizacao")) == as_set(layers.mart_localizacao(gold))
+    for table in ("built_silver.listings", "built_gold.obt", "built_gold.mart_tipo"):
+        assert spark.table(table).where("ingestion_timestamp is null").count() == 0
+    found = {(r.layer, r.check): r.violations for r in check_warehouse(spark, names).collect()}
+    assert found == {
+        ("silver", "unique"): 0, ("silver", "not_null"): 1,
+        ("gold", "unique"): 0, ("gold", "not_null"): 1,
+    }
+
+
+def test_month_by_month_gives_the_same_tables(spark):
+    raw = three_months(spark)
+    build_warehouse(raw, Names(db="whole"))
+    for month in MONTHS:
+        load_month(raw, month, Names(db="stepwise"))
+    load_month(raw, "2025-05", Names(db="stepwise"))
+    for table in ("silver.listings", "gold.obt", "gold.mart_tipo", "gold.mart_localizacao"):
+        columns = sorted(spark.table(f"whole_{table}").columns)
+        assert as_set(spark.table(f"whole_{table}").select(columns)) == as_set(
+            spark.table(f"stepwise_{table}").select(columns)
+        )
+    files = spark.table("stepwise_silver.listings").where("date_ref = '2025-05'").inputFiles()
+    assert len([f for f in files if "2025-05" in f]) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_month_that_becomes_empty_is_dropped(spark):
+    raw, names = three_months(spark), Names(db="emptied")
+    load_month(raw, "2025-04", names)
+    load_month(raw, "2025-05", names, buckets=3)
+    rows = load_month(raw.where("date_ref <> '2025-04'"), "2025-04", names)
+    assert rows["silver"] == 0
+    assert column(spark.table("emptied_silver.listings").select("date_ref").distinct(), "date_ref") == ["2025-05"]
+
+
+def test_gold_reads_silver_buckets_without_a_shuffle(spark):
+    build_warehouse(three_months(spark), Names(db="bucketed"), buckets=4)
+    plan = layers.dedup_all(
+        spark.table("bucketed_silver.listings").select(*layers.SILVER.fieldNames())
+    )._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "WindowGroupLimit" in plan

@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casario.operators.location import NO, OTHER_REGION, YES
 from casario.plans.layers import mart_localizacao, mart_tipo, obt, silver
 from casario.sources import spread
 
@@ -132,87 +131,56 @@ def nation_dimension(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- portal pages -----------------------------------------------------------------
 
-_ORIGIN_PORTAL = {"portal_0": "chaves", "portal_1": "vivareal", "portal_2": "zap"}
+# Two cards per page: a full one, and one that carries nothing but a location.
+_PAGE_A = """<html><body><p>menu</p><div>
+<span class="x card-module__1awNxG__cardContent"><p>Oferta<b>{preco}</b></p>
+<address class="style-module__PkTDxW__address"><p>Rua <i>A</i></p><p>{localizacao}</p></address>
+<span class="style-module__PkTDxW__list"><span title="i"></span><p>Área</p><p>{area}</p>
+<p>Quartos</p><p>{quartos}</p><p>Vagas</p><p>{vagas}</p><p>Banheiros</p><p>{banheiros}</p></span>
+<p class="column style-module__PkTDxW__price"><small>Condomínio</small><small>{condo}</small></p>
+</span></div><div><span class="card-module__1awNxG__cardContent">
+<address class="style-module__PkTDxW__address"><p>Rua</p><p>{localizacao}</p></address>
+</span></div></body></html>"""
 
+_CARDS_B = """
+<h2 data-cy="rp-cardProperty-location-txt"><b>Venda</b>em<br> {localizacao}</h2>
+<ul class="flex flex-row text-1-75 text-neutral-110 text-nowrap gap-3"><li><h3>{area} m²</h3></li>
+<li><h3>{quartos}</h3></li><li><h3>{banheiros}</h3></li><li><h3>{vagas}</h3></li></ul>
+<div class="shrink grow text-nowrap min-w-0"><div><p>{preco}</p></div><p>{condo}</p></div>"""
 
-def _escaped(text: Column) -> Column:
-    return F.replace(text, F.lit("&"), F.lit("&amp;"))
+_BARE_B = """<h2 data-cy="rp-cardProperty-location-txt">{localizacao}<i>!</i> </h2>"""
 
 
-def _tag(name: str, text: Column) -> Column:
-    """An element, or nothing when there is no text."""
-    return F.coalesce(F.concat(F.lit(f"<{name}>"), _escaped(text), F.lit(f"</{name}>")), F.lit(""))
+def _page_b(opening: str, closing: str) -> str:
+    cards = "\n".join(f"{opening}{body}{closing}" for body in (_CARDS_B, _BARE_B))
+    return f"<html><body><h3>menu</h3>{cards}</body></html>"
 
 
-def listing_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """A stored result page per raw listing, in the layout of its portal.
+# Portal and page layout by origin.
+_LAYOUTS = {
+    "portal_0": ("chaves", _PAGE_A),
+    "portal_1": ("vivareal", _page_b('<li class="c" data-cy="rp-property-cd">', "</li>")),
+    "portal_2": ("zap", _page_b('<div class="flex flex-col content-stretch">', "</div>")),
+}
 
-    Each page has two cards: the listing, and one that carries nothing but a location.
-    """
-    c, lit = F.col, F.lit
-    raw = listings_raw(spark, sf)
-    rooms_a = F.concat(
-        *[
-            F.concat(_tag("p", lit(label)), _tag("p", c(name)))
-            for label, name in (
-                ("Área", "area"), ("Quartos", "quartos"), ("Vagas", "vagas"),
-                ("Banheiros", "banheiros"),
-            )
-        ]
-    )
-    card_a = F.concat(
-        lit('<div><span class="x card-module__1awNxG__cardContent"><p>Oferta<b>'),
-        F.coalesce(_escaped(c("preco")), lit("")),
-        lit('</b></p><address class="style-module__PkTDxW__address"><p>Rua <i>A</i></p>'),
-        _tag("p", c("localizacao")),
-        lit('</address><span class="style-module__PkTDxW__list"><span title="i"></span>'),
-        rooms_a,
-        lit('</span><p class="column style-module__PkTDxW__price"><small>Condomínio</small>'),
-        _tag("small", c("condo")),
-        lit("</p></span></div>"),
-    )
-    empty_a = F.concat(
-        lit('<span class="card-module__1awNxG__cardContent">'
-            '<address class="style-module__PkTDxW__address"><p>Rua</p>'),
-        _tag("p", c("localizacao")),
-        lit("</address></span>"),
-    )
-    place_b = F.concat(
-        lit('<h2 data-cy="rp-cardProperty-location-txt"><b>Venda</b>em<br> '),
-        F.coalesce(_escaped(c("localizacao")), lit("")),
-        lit("</h2>"),
-    )
-    inner_b = F.concat(
-        place_b,
-        lit('<ul class="flex flex-row text-1-75 text-neutral-110 text-nowrap gap-3"><li>'),
-        _tag("h3", F.concat(c("area"), lit(" m²"))),
-        lit("</li><li>"), _tag("h3", c("quartos")),
-        lit("</li><li>"), _tag("h3", c("banheiros")),
-        lit("</li><li>"), _tag("h3", c("vagas")),
-        lit('</li></ul><div class="shrink grow text-nowrap min-w-0"><div>'),
-        _tag("p", c("preco")),
-        lit("</div>"),
-        F.when(c("preco").isNotNull(), _tag("p", c("condo"))).otherwise(lit("")),
-        lit("</div>"),
-    )
-    wrap = {
-        "portal_0": (lit(""), lit(""), card_a, empty_a),
-        "portal_1": (lit('<li class="c" data-cy="rp-property-cd">'), lit("</li>"), inner_b, place_b),
-        "portal_2": (lit('<div class="flex flex-col content-stretch">'), lit("</div>"), inner_b, place_b),
-    }
-    body, portal = lit(""), lit(None)
-    for origem, (head, tail, full, bare) in wrap.items():
-        here = c("origem") == origem
-        both = F.concat(head, full, tail, lit("\n"), head, bare, tail)
-        body = F.when(here, both).otherwise(body)
-        portal = F.when(here, lit(_ORIGIN_PORTAL[origem])).otherwise(portal)
-    return raw.select(
+
+def listing_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored result page per raw listing, in the layout of its portal."""
+    portal, html = F.lit(None), F.lit(None)
+    for origem, (name, layout) in _LAYOUTS.items():
+        here = F.col("origem") == origem
+        portal = F.when(here, F.lit(name)).otherwise(portal)
+        html = F.when(here, F.lit(layout)).otherwise(html)
+    for name in ("localizacao", "area", "quartos", "banheiros", "vagas", "preco", "condo"):
+        value = F.replace(F.coalesce(name, F.lit("")), F.lit("&"), F.lit("&amp;"))
+        html = F.replace(html, F.lit(f"{{{name}}}"), value)
+    return listings_raw(spark, sf).select(
         "origem",
         "date_ref",
         "tipo",
         portal.alias("portal"),
-        lit(1).alias("page"),
-        F.concat(lit("<html><body><p>menu</p>"), body, lit("</body></html>")).alias("html"),
+        F.lit(1).alias("page"),
+        html.alias("html"),
     )
 
 
@@ -246,9 +214,3 @@ def page_kind(pages: DataFrame) -> DataFrame:
         "html",
     )
 
-
-__all__ = [
-    "MONTH", "NO", "OTHER_REGION", "PLACES", "YES", "gold_listings", "linked_pages",
-    "listing_pages", "listings_raw", "location_mart", "nation_dimension", "page_kind",
-    "place", "silver_listings", "table", "type_mart",
-]

@@ -285,20 +285,24 @@ def origin_tag() -> str:
 
 
 def extracted() -> str:
-    """What the generated portal pages were made from, field by field."""
-    price = f"trim({digits('preco')})"
+    """What the generated portal pages were made from, field by field.
+
+    On two of the portals price and fee are the first and second entry of one list, so
+    where the price is missing, the fee stands in its place.
+    """
     first = "origem = 'portal_0'"
-    full = f"""SELECT {price} AS preco, tipo,
-        CASE WHEN {first} THEN split_part(localizacao, ',', 1)
-             ELSE coalesce(split_part(trim(localizacao), ',', 1), '') END AS localizacao,
+    trimmed = "split_part(trim(coalesce(localizacao, '')), ',', 1)"
+    full = f"""SELECT
+        trim({digits(f"CASE WHEN {first} THEN preco ELSE coalesce(preco, condo) END")}) AS preco,
+        tipo,
+        CASE WHEN {first} THEN split_part(localizacao, ',', 1) ELSE {trimmed} END AS localizacao,
         CASE WHEN {first} THEN area ELSE split_part(area || ' m²', ' ', 1) END AS area,
         quartos, banheiros, vagas,
         CASE WHEN {first} THEN trim({digits('condo')})
              WHEN preco IS NOT NULL THEN condo END AS condo,
         origem, date_ref, 1 AS page FROM raw"""
     bare = f"""SELECT NULL AS preco, tipo,
-        CASE WHEN {first} THEN split_part(localizacao, ',', 1)
-             ELSE coalesce(split_part(trim(localizacao), ',', 1), '') END AS localizacao,
+        CASE WHEN {first} THEN split_part(localizacao, ',', 1) ELSE '' END AS localizacao,
         NULL AS area, NULL AS quartos, NULL AS banheiros, NULL AS vagas, NULL AS condo,
         origem, date_ref, 1 AS page FROM raw"""
     return sql([RAW], f"{full} UNION ALL {bare}")
