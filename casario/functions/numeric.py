@@ -18,7 +18,8 @@ def try_real(text: Column) -> Column:
 def try_int(text: Column) -> Column:
     """Text to int, rounding decimals and exponents; NULL when it does not fit."""
     number = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.round(number).try_cast("int")
+    rounded = F.signum(number) * F.floor(F.abs(number) + F.lit(0.5))
+    return rounded.try_cast("int")
 
 
 def or_zero(value: Column) -> Column:

@@ -24,6 +24,10 @@ from casario.schema import FEED
 FIELDS = FEED.fieldNames()
 
 
+# The last result page that is asked for, by numbered address and by link.
+LAST_NUMBERED, LAST_LINKED = 50, 99
+
+
 @dataclass(frozen=True)
 class Texts:
     """A list of text nodes on a card: under `pattern`, inside `within` if given."""
@@ -55,11 +59,9 @@ class PortalSpec:
     hosts: tuple[str, ...]
     template: str
     categories: Mapping[str, str]
-    last_page: int
     card: str
     lists: Mapping[str, Texts]
     picks: Mapping[str, Pick]
-    numbered_pages: bool = True
 
 
 _TRIMMED: Callable[[Column], Column] = lambda text: clean_location(text, trim=True)
@@ -110,11 +112,9 @@ PORTALS = (
             "Apartamento": "apartamentos-a-venda",
             "Condomínio": "casas-em-condominio-a-venda",
         },
-        last_page=99,
         card=open_tag("span", ["card-module__1awNxG__cardContent"]),
         lists=_A_LISTS,
         picks=_A_PICKS,
-        numbered_pages=False,
     ),
     PortalSpec(
         name="vivareal",
@@ -125,7 +125,6 @@ PORTALS = (
             "Casa": "casa_residencial",
             "Condomínio": "condominio_residencial",
         },
-        last_page=50,
         card=open_tag("li", attrs={"data-cy": "rp-property-cd"}),
         lists=_B_LISTS,
         picks=_B_PICKS,
@@ -139,7 +138,6 @@ PORTALS = (
             "Apartamento": "apartamentos",
             "Condomínio": "casas-de-condominio",
         },
-        last_page=50,
         card=open_tag("div", ["flex", "flex-col", "content-stretch"]),
         lists=_B_LISTS,
         picks=_B_PICKS,
@@ -173,7 +171,7 @@ def seed_urls(portals: DataFrame) -> DataFrame:
     )
 
 
-def page_urls(seeds: DataFrame, max_page: int = 50) -> DataFrame:
+def page_urls(seeds: DataFrame, max_page: int = LAST_NUMBERED) -> DataFrame:
     """Addresses of all result pages: the seed, then ?pagina=2 and so on."""
     others = [name for name in seeds.columns if name not in ("url", "page")]
     numbered = seeds.select(
@@ -184,7 +182,7 @@ def page_urls(seeds: DataFrame, max_page: int = 50) -> DataFrame:
     return numbered.withColumn("url", url)
 
 
-def follow_links(pages: DataFrame, last_page: int = 99) -> DataFrame:
+def follow_links(pages: DataFrame, last_page: int = LAST_LINKED) -> DataFrame:
     """The next page that each stored page links to, for portals without page numbers."""
     others = [name for name in pages.columns if name not in ("url", "page", "html")]
     link = next_link(F.col("url"), F.col("html"), F.col("page"), last_page)

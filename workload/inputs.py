@@ -64,7 +64,7 @@ def listings_raw(spark: SparkSession, sf: str) -> DataFrame:
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
-    month = lambda day: F.date_format(day, "yyyy-MM")
+    month = lambda day: F.substring(day.cast("date").cast("string"), 1, 7)
     listed = month(F.col("o_orderdate"))
     again = month(F.add_months(F.col("o_orderdate"), 1))
     size = (F.col("p_size") * 10).cast("string")
@@ -92,8 +92,7 @@ def listings_raw(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_partkey") % 12).cast("string").alias("vagas"),
         F.when(every(29), F.lit(None))
         .when(every(31), F.lit("Sob consulta"))
-        .when(every(37), F.concat(amount, F.lit(",50")))
-        .otherwise(amount)
+        .otherwise(F.concat(amount, F.when(every(37), F.lit(",50")).otherwise(F.lit(""))))
         .alias("preco"),
         F.when(~every(3), F.concat(F.lit("R$ "), (F.col("l_partkey") % 900).cast("string")))
         .alias("condo"),
