@@ -71,9 +71,10 @@ def strip_query(url: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
+    decoded = text
     for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
 def origin_of(

@@ -81,10 +81,12 @@ def _contents(html: Column, pattern: str) -> Column:
 
 
 def _direct_text(content: Column) -> Column:
+    """Text nodes of an element; most elements hold plain text, which needs no pattern."""
     text = F.regexp_replace(content, _VOID, _CUT)
     for _ in range(NESTING):
         text = F.regexp_replace(text, _CHILD, _CUT)
-    nodes = F.split(F.regexp_replace(text, _TAG, _CUT), _CUT)
+    pieces = F.split(F.regexp_replace(text, _TAG, _CUT), _CUT)
+    nodes = F.when(content.contains("<"), pieces).otherwise(F.array(content))
     return F.transform(F.filter(nodes, lambda node: node != ""), decode_entities)
 
 
