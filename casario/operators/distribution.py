@@ -111,7 +111,7 @@ def quantiles(
             F.max(F.when(here & covers(upper(p)), F.col("value"))).alias(high),
             F.max(F.when(here, rank(p) - lower(p))).alias(part),
         ]
-        gap = (F.col(high) - F.col(low)).cast("double")
+        gap = F.col(high).cast("double") - F.col(low).cast("double")
         step = F.when(F.col(part) > 0, gap * F.col(part)).otherwise(F.lit(0.0))
         results.append((F.col(low).cast("double") + step).alias(name))
     return ranked.groupBy(*keys).agg(*picks).select(*keys, *results)

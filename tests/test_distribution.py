@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -26,7 +26,14 @@ def close(row, expected):
         assert row[name] == pytest.approx(value, rel=1e-9, abs=1e-30), name
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@example([831289443745792.0, 2153597.0])
+@settings(
+    max_examples=8,
+    deadline=None,
+    derandomize=True,
+    phases=[Phase.explicit, Phase.generate],
+    suppress_health_check=list(HealthCheck),
+)
 @given(
     st.lists(
         st.one_of(
