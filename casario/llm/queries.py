@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casario.llm import credentials, licenses, pii, quality
+from casario.llm import credentials, decontamination, licenses, mixing, pii, quality, sharding
+
+#: Target weights; sources that are not named have weight 1.
+WEIGHTS = {"src0": 4, "src1": 2, "src2": 2}
+BLOCK_BYTES = 1 << 16
+SHARD_BYTES = 1 << 20
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,10 +22,23 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(_read(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.slots(_read(spark, sf_dir, "documents"), WEIGHTS, BLOCK_BYTES)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.secrets(_read(spark, sf_dir, "documents"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(_read(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(_read(spark, sf_dir, "documents"))
 
@@ -32,7 +50,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
+        "op2_decontamination": op2_decontamination,
+        "op3_mixing": op3_mixing,
         "op4_secrets": op4_secrets,
+        "op8_sharding": op8_sharding,
         "op9_licenses": op9_licenses,
         "op10_quality": op10_quality,
     }
