@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Byte tables.  Lower-casing touches A-Z only; every byte of a non-ASCII character counts
 #: as a letter of an alphanumeric word.
@@ -50,7 +51,7 @@ def struct_udf(scan: Callable[[list], Iterator[tuple]], schema: str) -> Callable
 
     `scan` gets the texts of a batch (None for null) and yields a tuple for each, in order.
     """
-    names = [part.split()[0] for part in schema.split(",")]
+    names = StructType.fromDDL(schema).names
 
     @F.pandas_udf(schema)
     def apply(texts: pd.Series) -> pd.DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casario.llm import credentials, decontamination, licenses, mixing, pii, quality, sharding
+from casario.llm import credentials, decontamination, licenses, mixing, neardup, pii, quality, sharding, url_templates
 
 #: Target weights; sources that are not named have weight 1.
 WEIGHTS = {"src0": 4, "src1": 2, "src2": 2}
@@ -35,6 +35,14 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.secrets(_read(spark, sf_dir, "documents"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judged(_read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "template")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_read(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -53,6 +61,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": op2_decontamination,
         "op3_mixing": op3_mixing,
         "op4_secrets": op4_secrets,
+        "op5_near_duplicates": op5_near_duplicates,
+        "op6_url_filter": op6_url_filter,
         "op8_sharding": op8_sharding,
         "op9_licenses": op9_licenses,
         "op10_quality": op10_quality,

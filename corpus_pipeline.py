@@ -10,17 +10,46 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casario.llm import quality
+from casario.llm import decontamination, mixing, neardup, quality, sharding
 from casario.llm.common import shared_folder
 
+#: Target weights of the sources (others have weight 1), bytes of a block and of a shard.
+WEIGHTS = {"src0": 4, "src1": 2, "src2": 2}
+BLOCK_BYTES = 1 << 16
+SHARD_BYTES = 1 << 20
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are too short or repeat themselves go."""
     return quality.keep_good(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    return neardup.without_near_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in an order in which every source is within a block of its weight."""
+    return mixing.mixed(docs, WEIGHTS, BLOCK_BYTES)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with the shard each goes to."""
+    return sharding.sharded(docs, SHARD_BYTES)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("mix_sources", mix_sources),
+    ("shard", shard),
 ]
 
 #: The verdict of the quality rules has no SQL form; the stages are tested against brute force.
