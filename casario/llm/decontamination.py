@@ -152,9 +152,8 @@ def pieces(items: DataFrame) -> DataFrame:
     ).mapInPandas(cut, "name string, piece binary, short boolean")
 
 
-def _matcher(automaton):
+def _matcher(index: SuffixAutomaton):
     def scan(texts: list[bytes | None]) -> Iterator[tuple]:
-        index = automaton.value
         for text in texts:
             words = alnum_words(text)
             longest, spans, items = index.match(words)
@@ -175,16 +174,13 @@ def _united(found: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
 
 def matches(docs: DataFrame, items: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """`docs` with a struct column `_match`: SCHEMA.  Spans are word positions, stop exclusive."""
-    spark = docs.sparkSession
     cut = written(pieces(items))
     total = cut.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0)).alias("n")).first().n
     shards = max(1, -(-total // shard_bytes))
 
-    def automaton(k: int):
+    def automaton(k: int) -> SuffixAutomaton:
         rows = cut.filter(F.pmod(F.xxhash64("name", "piece"), F.lit(shards)) == k).collect()  # shard_bytes of text
-        return spark.sparkContext.broadcast(
-            SuffixAutomaton([(r.name, bytes(r.piece).split(), r.short) for r in sorted(rows, key=lambda r: (r.name, r.piece))])
-        )
+        return SuffixAutomaton([(r.name, bytes(r.piece).split(), r.short) for r in sorted(rows, key=lambda r: (r.name, r.piece))])
 
     if shards == 1:
         return docs.withColumn("_match", _matcher(automaton(0))(F.col(text).cast("binary")))
