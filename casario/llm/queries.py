@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casario.llm import credentials, decontamination, licenses, mixing, neardup, pii, quality, sharding, url_templates
+from casario.llm import credentials, decontamination, licenses, mixing, neardup, pii, ppm, quality, sharding, url_templates
 
 #: Target weights; sources that are not named have weight 1.
 WEIGHTS = {"src0": 4, "src1": 2, "src2": 2}
@@ -43,6 +43,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judged(_read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "template")
 
 
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.scores(_read(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_read(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_secrets": op4_secrets,
         "op5_near_duplicates": op5_near_duplicates,
         "op6_url_filter": op6_url_filter,
+        "op7_ppm": op7_ppm,
         "op8_sharding": op8_sharding,
         "op9_licenses": op9_licenses,
         "op10_quality": op10_quality,
