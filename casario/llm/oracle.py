@@ -1,7 +1,190 @@
-"""DuckDB SQL with the results of the queries that SQL can express."""
+"""DuckDB SQL with the results of the queries that SQL can express.
+
+The other five (personal data, secrets, language-model scores, licences, quality rules) end
+in a trained model, a sweep, a parser or a suffix array; brute force checks them in tests.
+"""
 
 from __future__ import annotations
 
+from casario.llm.queries import BLOCK_BYTES, SHARD_BYTES, WEIGHTS
+from casario.llm.url_templates import LEVELS, MANY, PRIOR, PURITY, RARE, RULES, SIMILAR
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+cut AS (
+    SELECT item_id, w, least(len(w), 10) AS m, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0
+),
+windows AS (SELECT DISTINCT item_id, m, array_to_string(w[i : i + m - 1], ' ') AS gram FROM cut),
+places AS (
+    SELECT doc_id, m, i, array_to_string(w[i : i + m - 1], ' ') AS gram
+    FROM (
+        SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM d CROSS JOIN (SELECT DISTINCT m FROM windows) WHERE len(w) >= m
+    )
+),
+found AS (SELECT doc_id, i, m, item_id FROM places JOIN windows USING (m, gram)),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS k FROM found) GROUP BY ALL),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY ALL
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_WEIGHT = " ".join(f"WHEN '{name}' THEN {weight}" for name, weight in WEIGHTS.items())
+OP3 = f"""
+WITH RECURSIVE rows AS (
+    SELECT coalesce(source, '') AS source, doc_id, sum(coalesce(strlen(text), 0))::BIGINT AS n_bytes FROM documents GROUP BY ALL
+),
+placed AS (
+    SELECT *, (sum(n_bytes) OVER (
+        PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id ROWS UNBOUNDED PRECEDING
+    ) - n_bytes)::BIGINT AS start FROM rows
+),
+sources AS (SELECT DISTINCT source, CASE source {_WEIGHT} ELSE 1 END AS weight FROM rows),
+members AS (SELECT *, row_number() OVER (PARTITION BY weight ORDER BY source) - 1 AS member FROM sources),
+tasks AS (
+    SELECT weight, count(*) AS m, weight * count(*) AS parts, row_number() OVER (ORDER BY weight) AS k FROM sources GROUP BY weight
+),
+whole AS (SELECT list(parts ORDER BY k) AS parts, sum(parts)::BIGINT AS period FROM tasks),
+edf AS (
+    SELECT -1 AS t, list_transform(parts, lambda x: 0::BIGINT) AS done, 0::BIGINT AS pick, parts, period FROM whole
+    UNION ALL
+    SELECT t, list_transform(done, lambda n, k: CASE WHEN k = pick THEN n + 1 ELSE n END), pick, parts, period
+    FROM (
+        SELECT t + 1 AS t, done, parts, period,
+            list_min(list_filter(list_transform(range(1, len(parts) + 1), lambda k:
+                CASE WHEN (done[k] * period) // parts[k] <= t + 1
+                THEN {{'due': ((done[k] + 1) * period + parts[k] - 1) // parts[k], 'k': k}} END), lambda x: x IS NOT NULL)).k AS pick
+        FROM edf WHERE t + 1 < period
+    )
+),
+turns AS (SELECT pick AS k, t, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn FROM edf WHERE t >= 0),
+blocks AS (
+    SELECT p.*, start // {BLOCK_BYTES} AS block, (start // {BLOCK_BYTES}) * m + member AS n, parts, k, period
+    FROM placed p JOIN members USING (source) JOIN tasks USING (weight) CROSS JOIN (SELECT period FROM whole)
+)
+SELECT source, doc_id, n_bytes, start, block::BIGINT AS block, ((n // parts) * period + t)::BIGINT AS slot,
+    ((n * period) // parts)::BIGINT AS release, (((n + 1) * period + parts - 1) // parts)::BIGINT AS deadline
+FROM blocks JOIN turns USING (k) WHERE turn = n % parts
+"""
+
+OP5 = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, gram FROM (
+        SELECT doc_id, array_to_string(w[i : i + 4], ' ') AS gram
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+    )
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY ALL),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+    SELECT a AS doc_id, b AS other FROM edges
+    UNION
+    SELECT doc_id, b FROM reach JOIN edges ON other = a
+),
+smallest AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY ALL)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, other) AS component_id, doc_id = least(doc_id, other) AS kept
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN smallest USING (doc_id)
+"""
+
+
+def _op6() -> str:
+    rules = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v) for v, h, p in rules]
+    rule = " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in fits)
+    ruled = " ".join(f"WHEN {c} THEN '{v}'" for c, _, v in fits)
+    sql = f"""
+WITH found AS (
+    SELECT page_id, host, path, CASE {rule} END AS rule, CASE {ruled} END AS ruled FROM (
+        SELECT page_id,
+            translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+        FROM pages
+    )
+),
+level0 AS (
+    SELECT host, path, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (ruled = 'allow') AS allowed, '' AS template,
+        string_split(path, '/') AS parts
+    FROM found GROUP BY host, path
+)"""
+    for level in range(1, LEVELS + 1):
+        raw = f"parts[{level + 1}]" if level < LEVELS else f"array_to_string(parts[{level + 1} :], '/')"
+        sql += f""",
+named{level} AS (
+    SELECT *, CASE WHEN len(parts) > {level} THEN
+        CASE WHEN regexp_matches(regexp_replace({raw}, '\\.[A-Za-z]{{1,5}}$', ''), '^[0-9]+$|^[0-9A-Fa-f-]{{16,}}$') THEN '*' ELSE {raw} END END AS child
+    FROM level{level - 1}
+),
+children{level} AS (
+    SELECT host, template, child, sum(labelled) AS labelled, sum(allowed) AS allowed FROM named{level} WHERE child IS NOT NULL GROUP BY ALL
+),
+nodes{level} AS (
+    SELECT host, template, count(*) AS branches, sum(labelled) AS all_labelled, sum(allowed) AS all_allowed FROM children{level} GROUP BY ALL
+),
+kept{level} AS (
+    SELECT host, template, child, CASE
+        WHEN child = '*' OR branches >= {MANY} AND branches * {RARE} >= 1 THEN '*'
+        WHEN branches > 1 AND labelled > 0 AND (allowed / labelled - all_allowed / all_labelled) ** 2
+            <= {SIMILAR * SIMILAR} * (all_allowed / all_labelled) * (1 - all_allowed / all_labelled) / labelled THEN '~'
+        ELSE child END AS kept
+    FROM children{level} JOIN nodes{level} USING (host, template)
+),
+level{level} AS (
+    SELECT host, path, n, labelled, allowed, CASE WHEN kept IS NULL THEN template ELSE template || '/' || kept END AS template, parts
+    FROM named{level} LEFT JOIN kept{level} USING (host, template, child)
+)"""
+    return sql + f""",
+per_host AS (SELECT host, template, sum(labelled) AS labelled, sum(allowed) AS allowed FROM level{LEVELS} GROUP BY ALL),
+total AS (SELECT (sum(allowed) + {PRIOR} * 0.5) / (sum(labelled) + {PRIOR}) AS prior FROM per_host),
+everywhere AS (SELECT template, (sum(allowed) + {PRIOR} * any_value(prior)) / (sum(labelled) + {PRIOR}) AS prior FROM per_host CROSS JOIN total GROUP BY ALL),
+purity AS (
+    SELECT host, template, (allowed + {PRIOR} * prior) / (labelled + {PRIOR}) AS purity FROM per_host JOIN everywhere USING (template)
+)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity >= {PURITY} THEN 'allow' ELSE 'block' END) AS verdict, template
+FROM found JOIN level{LEVELS} USING (host, path) JOIN purity USING (host, template)
+"""
+
+
+OP8 = f"""
+WITH d AS (
+    SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+        to_base(('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT, 2, 60) AS bits
+    FROM documents
+),
+nodes AS (
+    SELECT depth, substr(bits, 1, depth) AS prefix, sum(n_bytes)::BIGINT AS bytes
+    FROM (SELECT bits, n_bytes, unnest(range(0, 61)) AS depth FROM d) GROUP BY ALL
+),
+depths AS (
+    SELECT bits, min(depth) AS depth
+    FROM (SELECT DISTINCT bits FROM d) JOIN nodes ON prefix = substr(bits, 1, depth)
+    WHERE bytes <= {SHARD_BYTES} OR depth = 60 GROUP BY ALL
+)
+SELECT doc_id, n_bytes, substr(bits, 1, depth) AS shard, depth::BIGINT AS shard_depth, bytes AS shard_bytes
+FROM d JOIN depths USING (bits) JOIN nodes USING (depth) WHERE prefix = substr(bits, 1, depth)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_decontamination": OP2,
+        "op3_mixing": OP3,
+        "op5_near_duplicates": OP5,
+        "op6_url_filter": _op6(),
+        "op8_sharding": OP8,
+    }
