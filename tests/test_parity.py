@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import connect, differences
+from workload import oracle
+from workload import queries as registered
 
 SF = entry_point.SMOKE_DIR
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLE = registered.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +22,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
