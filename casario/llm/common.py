@@ -64,3 +64,14 @@ def struct_udf(scan: Callable[[list], Iterator[tuple]], schema: str) -> Callable
 def findings(docs: DataFrame, column: Column, doc_id: str = "doc_id") -> DataFrame:
     """The id and the fields of a struct column; other columns of `docs` are not read."""
     return docs.select(F.col(doc_id), column.alias("_found")).select(F.col(doc_id), "_found.*")
+
+
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """`docs` as one struct column `doc`, so that no name of its columns clashes with ours."""
+    return docs.select(F.struct("*").alias("doc"), *(c.alias(name) for name, c in columns.items()))
+
+
+def unpacked(frame: DataFrame, like: DataFrame, *more: str) -> DataFrame:
+    """The columns of `like` out of `doc`, and `more`; these replace columns of the same name."""
+    taken = {name.lower() for name in more}
+    return frame.select(*(F.col("doc")[c].alias(c) for c in like.columns if c.lower() not in taken), *more)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casario.llm.common import alnum_words, struct_udf, written
+from casario.llm.common import alnum_words, packed, struct_udf, unpacked, written
 
 #: Words of a window.
 WINDOW = 10
@@ -173,7 +173,9 @@ def _united(found: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
 
 
 def matches(docs: DataFrame, items: DataFrame, text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """`docs` with a struct column `_match`: SCHEMA.  Spans are word positions, stop exclusive."""
+    """(doc, match): the documents' columns as a struct, and SCHEMA.
+
+    Spans are word positions, stop exclusive."""
     cut = written(pieces(items))
     total = cut.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0)).alias("n")).first().n
     shards = max(1, -(-total // shard_bytes))
@@ -183,39 +185,39 @@ def matches(docs: DataFrame, items: DataFrame, text: str = "text", shard_bytes:
         return SuffixAutomaton([(r.name, bytes(r.piece).split(), r.short) for r in sorted(rows, key=lambda r: (r.name, r.piece))])
 
     if shards == 1:
-        return docs.withColumn("_match", _matcher(automaton(0))(F.col(text).cast("binary")))
-    kept = written(docs.withColumn("_row", F.monotonically_increasing_id()))
+        return packed(docs, match=_matcher(automaton(0))(F.col(text).cast("binary")))
+    kept = written(packed(docs, row=F.monotonically_increasing_id()))
     found = None
     for k in range(shards):
-        part = written(kept.select("_row", _matcher(automaton(k))(F.col(text).cast("binary")).alias("m")))
+        part = written(kept.select("row", _matcher(automaton(k))(F.col("doc")[text].cast("binary")).alias("m")))
         found = part if found is None else found.unionByName(part)
     unite = F.udf(_united, "array<struct<start:long,stop:long>>")
-    merged = found.groupBy("_row").agg(
+    merged = found.groupBy("row").agg(
         F.struct(
             F.max("m.n_words").alias("n_words"),
             F.max("m.longest").alias("longest"),
             unite(F.collect_list("m.spans")).alias("spans"),  # one list for each automaton
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("m.items")))).alias("items"),
-        ).alias("_match")
+        ).alias("match")
     )
-    return kept.join(merged, "_row").drop("_row")
+    return kept.join(merged, "row").drop("row")
 
 
 def hit_words() -> F.Column:
-    return F.aggregate("_match.spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return F.aggregate("match.spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """A row per document: words, hit words, items with occurring windows, longest match."""
     return matches(docs.select("doc_id", "text"), items).select(
-        "doc_id",
-        F.col("_match.n_words").alias("n_words"),
+        "doc.doc_id",
+        F.col("match.n_words").alias("n_words"),
         hit_words().alias("n_hit"),
-        F.size("_match.items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_match.items", ","), 256).alias("items_sha256"),
+        F.size("match.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("match.items", ","), 256).alias("items_sha256"),
         (hit_words() > 0).alias("contaminated"),
-        F.col("_match.longest").alias("longest"),
-        F.col("_match.spans").alias("spans"),
+        F.col("match.longest").alias("longest"),
+        F.col("match.spans").alias("spans"),
     )
 
 
@@ -232,10 +234,11 @@ def decontaminated(docs: DataFrame, items: DataFrame, max_words: int = 0, max_co
         return pd.Series([cut_words(t, [s for s in found if s["stop"] - s["start"] > max_words]) for t, found in zip(texts, spans)])
 
     found = matches(docs, items)
-    kept = found.filter(hit_words() <= F.lit(max_coverage) * F.col("_match.n_words"))
+    kept = found.filter(hit_words() <= F.lit(max_coverage) * F.col("match.n_words"))
     if max_coverage > 0:
-        kept = kept.withColumn("text", F.when(F.size("_match.spans") > 0, without("text", "_match.spans")).otherwise(F.col("text")))
-    return kept.select(*docs.columns)
+        text = F.when(F.size("match.spans") > 0, without(F.col("doc")["text"], "match.spans")).otherwise(F.col("doc")["text"])
+        kept = kept.withColumn("doc", F.col("doc").withField("text", text))
+    return unpacked(kept, docs)
 
 
 def cut_words(text: str | None, spans: list) -> str | None:

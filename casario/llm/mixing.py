@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casario.llm.common import packed, unpacked
+
 #: Largest period of the schedule, in slots.
 RESOLUTION = 4096
 #: Hex digits of the id's digest that part a source for its running sums.
@@ -122,8 +124,10 @@ def slots(docs: DataFrame, weights: dict[str, int], block_bytes: int, default: i
 def mixed(docs: DataFrame, weights: dict[str, int], block_bytes: int, default: int = 1) -> DataFrame:
     """All documents with their columns, in mixed order: written out, the files follow the slots."""
     order = slots(docs, weights, block_bytes, default).select(
-        F.col("source").alias("_source"), F.col("doc_id").alias("_id"), F.col("slot").alias("_slot"), F.col("start").alias("_start")
+        F.col("source").alias("in_source"), F.col("doc_id").alias("id"), "slot", "start"
     )
-    keyed = docs.withColumn("_source", F.coalesce("source", F.lit("")))
-    joined = keyed.join(order.hint("shuffle_hash"), (keyed["_source"] == order["_source"]) & keyed["doc_id"].eqNullSafe(order["_id"]))
-    return joined.repartitionByRange("_slot").sortWithinPartitions("_slot", "_start").select(*(keyed[c] for c in docs.columns))
+    keyed = packed(docs, of_source=F.coalesce("source", F.lit("")), of_id=F.col("doc_id"))
+    # Hashing the narrow side leaves the texts unsorted.
+    same = (F.col("of_source") == F.col("in_source")) & F.col("of_id").eqNullSafe(F.col("id"))
+    joined = keyed.join(order.hint("shuffle_hash"), same)
+    return unpacked(joined.repartitionByRange("slot").sortWithinPartitions("slot", "start"), docs)

@@ -7,7 +7,8 @@ the first is one aggregate of at most 2**STEP rows; a further one is made only b
 that are still too large.
 
 Rows with the same id have the same hash and no bit can part them; where they exceed the
-limit together, their bucket overflows into pages.  A document above the limit is a shard
+limit together, their bucket overflows into pages.  Columns of the input named as ours are
+replaced.  A document above the limit is a shard
 (or page) of its own.  A null text has no bytes; a null id is hashed as the empty string.
 DataFrame functions only.
 """
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casario.llm.common import written
+from casario.llm.common import packed, unpacked, written
 
 #: Bits of a hash, and bits of one directory level.
 BITS = 60
@@ -66,9 +67,8 @@ def directory_level(sized: DataFrame, level: int, limit: int) -> tuple[DataFrame
 def sharded(docs: DataFrame, limit: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with `shard` (the bucket's hash prefix in binary digits, and for an overflowing
     bucket `/` and a page), `shard_depth` and `shard_bytes` (of the bucket)."""
-    columns = docs.columns
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
-    out = docs.withColumns({"_hash": hash_bits(doc_id), "_bytes": size})
+    out = packed(docs, _hash=hash_bits(doc_id), _bytes=size)
     sized = written(out.select("_hash", "_bytes"))
     rest, levels = sized, 0
     for level in range(BITS // STEP):
@@ -91,7 +91,8 @@ def sharded(docs: DataFrame, limit: int, doc_id: str = "doc_id", text: str = "te
     out = out.withColumn("shard", bits)
     if levels * STEP == BITS:
         out = _paged(out, limit)
-    return out.select(*columns, "shard", F.col("shard_depth").cast("long").alias("shard_depth"), "shard_bytes")
+    out = out.withColumn("shard_depth", F.col("shard_depth").cast("long"))
+    return unpacked(out, docs, "shard", "shard_depth", "shard_bytes")
 
 
 def _paged(out: DataFrame, limit: int) -> DataFrame:
