@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # JVM cast would let through: type suffixes (100f), NaN and Infinity.
 NUMBER = r"^\s*[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
+#: Doubles of this size and more are whole numbers.
+EXACT = float(2**53)
+
 
 def try_real(text: Column) -> Column:
     """Text to float, NULL when it is not a number."""
@@ -33,7 +36,14 @@ def round_half_away(value: Column, digits: int = 2) -> Column:
     """
     scale = float(10**digits)
     x = value.cast("double")
-    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)).cast("double") / F.lit(scale)
+    rounded = F.signum(x) * whole_part(F.abs(x) * scale + F.lit(0.5)) / F.lit(scale)
+    # From 2**53 units on a double has no digits left to round.
+    return F.when(F.abs(x) * scale >= F.lit(EXACT), x).otherwise(rounded)
+
+
+def whole_part(x: Column) -> Column:
+    """Floor of a double as a double; the built-in one gives a bigint, which saturates."""
+    return F.when(F.abs(x) >= F.lit(EXACT), x).otherwise(F.floor(x).cast("double"))
 
 
 def percent_change(now: Column, before: Column, kind: str = "double") -> Column:

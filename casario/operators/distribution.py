@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casario.functions.numeric import whole_part
+
 BINS_PER_OCTAVE = 512
 _ABOVE_LOWEST_BIN = 200 * BINS_PER_OCTAVE
 _LARGEST_FLOAT = 3.4028234e38
@@ -162,7 +164,7 @@ def shares(df: DataFrame, column: str) -> DataFrame:
 
 def histogram(df: DataFrame, value: str, width: float, series: str) -> DataFrame:
     """Equal-width bins per series, with each bin's part of its series in percent."""
-    start = (F.floor(F.col(value) / F.lit(float(width))) * F.lit(float(width))).cast("double")
+    start = whole_part(F.col(value).cast("double") / F.lit(float(width))) * F.lit(float(width))
     binned = (
         df.where(F.col(series).isNotNull() & F.col(value).isNotNull())
         .groupBy(series, start.alias("bin_start"))

@@ -114,9 +114,13 @@ def enrich_location(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     The built-in dimension has a fixed size and is broadcast.  One passed in has no
     known bound, so there the join strategy is left to Spark's own size check and to
     adaptive execution, which also splits a neighbourhood with very many listings.
-    Names in `dim` must be unique.
+    Of several rows for a name in `dim` the smallest counts, so no listing is multiplied.
     """
-    dim = F.broadcast(neighbourhoods(df.sparkSession)) if dim is None else dim
+    if dim is None:
+        dim = F.broadcast(neighbourhoods(df.sparkSession))
+    else:
+        one = F.min(F.struct("region", "shore", "centre")).alias("one")
+        dim = dim.groupBy("name").agg(one).select("name", "one.*")
     flag = lambda name: F.when(F.col(name), F.lit(YES)).otherwise(F.lit(NO))
     joined = df.join(dim, F.lower(df["localizacao"]) == dim["name"], "left")
     return joined.select(

@@ -12,8 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casario.operators import not_null, unique
-from casario.plans.layers import bronze, mart_localizacao, mart_tipo, obt, silver, stamped
+from casario.operators import not_null, plausible, unique
+from casario.plans.layers import bronze, dedup_month, mart_localizacao, mart_tipo, obt, silver, stamped, typed
+from casario.schema import SILVER
 from casario.sources import replace_partition, save_table
 
 
@@ -48,13 +49,31 @@ def bronze_view(raw: DataFrame, names: Names = Names()) -> DataFrame:
     return raw.sparkSession.table(view)
 
 
+def bucketed_silver(listings: DataFrame, buckets: int) -> DataFrame:
+    """Silver with its rows dealt out by identity, as the buckets are: one shuffle.
+
+    The identity alone also brings the rows of an identity and a month together.  Listings
+    without an identity would all meet in one task that way, so they go a way of their own,
+    on which each task keeps one row a month before anything is shuffled.
+    """
+    rows = typed(listings)
+    named = dedup_month(rows.where(F.col("id").isNotNull()).repartition(buckets, "id"))
+    nameless = dedup_month(rows.where(F.col("id").isNull()))
+    return plausible(named.unionByName(nameless)).select(*SILVER.fieldNames())
+
+
 def build_warehouse(
     raw: DataFrame, names: Names = Names(), buckets: int | None = None, dim: DataFrame | None = None
 ) -> dict[str, int]:
-    """Build every layer from raw listings of any number of months; rows per table."""
+    """Build every layer from raw listings of any number of months; rows per table.
+
+    `buckets` should leave each bucket of silver at about what one task can sort in memory
+    (a few hundred MB); the default, the session's shuffle partitions, suits tables that are
+    shuffled with that number anyway.
+    """
     spark = raw.sparkSession
     n = _buckets(spark, buckets)
-    cleaned = silver(bronze_view(raw, names)).repartition(n, "id")
+    cleaned = bucketed_silver(bronze_view(raw, names), n)
     rows = {
         "silver": save_table(
             stamped(cleaned), names.silver_db, names.silver, ["date_ref"], (n, "id")
@@ -73,7 +92,8 @@ def load_month(
     """Add or replace one month, then rebuild gold.
 
     Within a month the identity alone is the key, so the dedup's shuffle already has
-    the layout of the buckets when their number is that of the shuffle partitions.
+    the layout of the buckets when their number is that of the shuffle partitions.  Gold is
+    rebuilt from all months: a new month can change which month's row of an identity counts.
     """
     spark = raw.sparkSession
     n = _buckets(spark, buckets)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casario.functions import origin_of
 from casario.functions.text import ORIGINS, UNKNOWN_ORIGIN
 from casario.schema import FEED, RAW
 
+PRICES = ("preco", "condo")
+
 
 def read_listings(
     spark: SparkSession,
@@ -18,25 +20,26 @@ def read_listings(
     date_ref: str,
     mapping: Mapping[str, str] = ORIGINS,
     default: str = UNKNOWN_ORIGIN,
-    layout: str = "array",
+    layout: str = "lines",
 ) -> DataFrame:
     """All *.json files directly in a folder, tagged with their portal and month.
 
     Columns are matched by name and kept as text.  A malformed file fails the read.
 
-    layout="array" takes any JSON, but parses each file in one task.  For large files
-    use layout="lines": one record per line, with or without the brackets and commas of
-    an array around them; such files are split among tasks.
+    layout="lines" reads one record per line, with or without the brackets and commas of an
+    array around them, as feed exporters write them; such files are split among tasks.
+    layout="array" takes any JSON, but parses each file in one task.
     """
-    if layout == "array":
-        reader = spark.read.schema(FEED).option("multiLine", True).option("mode", "FAILFAST")
-        feed = reader.option("pathGlobFilter", "*.json").json(path)
-    elif layout == "lines":
+    if layout == "lines":
         text = spark.read.option("pathGlobFilter", "*.json").text(path)
-        opened = F.regexp_replace("value", r"^\s*\[?\s*", "")
-        bare = F.regexp_replace(opened, r"[,\]\s]*$", "")
-        record = F.from_json(bare, FEED, {"mode": "FAILFAST"})
-        feed = text.where(bare != "").select(record.alias("r"), "_metadata").select("r.*", "_metadata")
+        feed = parse_lines(text.select("value", "_metadata"))
+    elif layout == "array":
+        text = spark.read.option("pathGlobFilter", "*.json").option("wholetext", True).text(path)
+        listed = F.when(
+            F.col("value").rlike(r"^\s*\["), F.from_json("value", "array<variant>", {"mode": "FAILFAST"})
+        ).otherwise(F.array(F.parse_json("value")))
+        each = text.select(F.explode(listed).alias("record"), "_metadata")
+        feed = each.select(*_fields(F.col("record")), "_metadata")
     else:
         raise ValueError(f"layout must be 'array' or 'lines', not {layout!r}")
     tagged = feed.withColumn(
@@ -45,6 +48,33 @@ def read_listings(
     return tagged.select(*RAW.fieldNames())
 
 
+def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Feed records out of JSON text, one record per row; other columns are carried along.
+
+    Brackets and commas around a record are dropped, and so are rows with nothing else.
+    """
+    opened = F.regexp_replace(value, r"^\s*\[?\s*", "")
+    bare = F.regexp_replace(opened, r"[,\]\s]*$", "")
+    others = [name for name in lines.columns if name != value]
+    records = lines.where(bare != "").select(F.parse_json(bare).alias("record"), *others)
+    return records.select(*_fields(F.col("record")), *others)
+
+
+def _fields(record: Column) -> list[Column]:
+    """The feed's fields as text.  A JSON number among the prices loses its fraction: the point
+    of a price text groups thousands."""
+    fields = []
+    for name in FEED.fieldNames():
+        text = F.try_variant_get(record, f"$.{name}", "string")
+        if name in PRICES:
+            number = F.schema_of_variant(F.try_variant_get(record, f"$.{name}", "variant")).rlike("^(BIGINT|DECIMAL|DOUBLE)")
+            amount = F.try_variant_get(record, f"$.{name}", "double")
+            whole = F.signum(amount) * F.floor(F.abs(amount) + F.lit(0.5))
+            text = F.when(number, whole.cast("decimal(38,0)").cast("string")).otherwise(text)
+        fields.append(text.alias(name))
+    return fields
+
+
 def write_feed(records: DataFrame, path: str) -> None:
     """Write records as UTF-8 JSON, one per line, NULL fields included."""
     records.write.mode("errorifexists").option("ignoreNullFields", False).option(
@@ -55,3 +85,8 @@ def write_feed(records: DataFrame, path: str) -> None:
 def folder_table(path: str) -> str:
     """Table name of a feed folder: its base name up to the first dash."""
     return path.rsplit("/", 1)[-1].split("-", 1)[0]
+
+
+def folder_table_of(path: Column) -> Column:
+    """The same for a column of paths."""
+    return F.substring_index(F.substring_index(path, "/", -1), "-", 1)

@@ -8,17 +8,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small table out among all cores when its files are too few for them.
-
-    Spark splits a table into fewer tasks than cores only if it is smaller than a few
-    megabytes per core, so the shuffle added here is always a small one.  Larger tables
-    are left as they lie.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen

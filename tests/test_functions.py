@@ -38,6 +38,11 @@ def test_rounding_is_half_away_from_zero(spark):
     assert got == [2.35, 1.0, -1.13, 0.0, None]
 
 
+def test_rounding_leaves_large_numbers(spark):
+    large = [1e17, -1e17, 1e20, 3e38, -3e38, 92233720368547758.5, 2.0**53]
+    assert values(spark, C.round_half_away, large, "double") == large
+
+
 def test_prices(spark):
     texts = ["R$ 1.200.000", " R$ 350.000 ", "", None, "Sob consulta"]
     assert values(spark, C.clean_price, texts) == ["1200000", "350000", None, None, "Sob consulta"]

@@ -8,6 +8,7 @@ import pytest
 
 from casario.operators import shares
 from casario.plans import layers, report
+from casario.plans.warehouse import bucketed_silver
 from workload import inputs
 from workload.queries import queries
 
@@ -40,10 +41,16 @@ def test_gold(spark):
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(queries()[name](spark, SF))
-    for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+    for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "RoundRobinPartitioning"):
         assert operator not in text, operator
 
 
+def test_silver_is_shuffled_once(spark):
+    text = plan(bucketed_silver(layers.bronze(inputs.listings_raw(spark, SF)), 16))
+    assert "hashpartitioning(id" in text and len(re.findall(r"Exchange hashpartitioning\(id#\d+, 16\)", text)) == 1
+    assert exchanges(text) == exchanges(plan(inputs.listings_raw(spark, SF))) * 2 + 2  # the second: one row per task and month
+
+
 def test_scans_read_only_needed_columns(spark):
     text = plan(queries()["extract_listings"](spark, SF))
     assert "c_acctbal" not in text and "p_name" not in text

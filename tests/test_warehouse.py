@@ -30,13 +30,13 @@ def folder(tmp_path):
 
 
 def test_feeds(spark, folder):
-    raw = read_listings(spark, folder, "2025-04")
+    raw = read_listings(spark, folder, "2025-04", layout="array")
     assert raw.columns == [*["preco", "tipo", "localizacao", "area", "quartos", "banheiros",
                              "vagas", "condo"], "origem", "date_ref"]
     assert {t for _, t in raw.dtypes} == {"string"}
     rows = sorted((r.origem, r.preco, r.tipo) for r in raw.collect() if r.tipo)
     assert rows == [
-        ("Chaves na Mão", "350000.0", "Condomínio"), ("Chaves na Mão", "R$ 350.000", "Casa"),
+        ("Chaves na Mão", "350000", "Condomínio"), ("Chaves na Mão", "R$ 350.000", "Casa"),
         ("ZAP Imóveis", "R$ 350.000", "Casa"),
     ]
     [odd] = raw.where("tipo is null").collect()
@@ -49,7 +49,7 @@ def test_malformed_feed_fails(spark, tmp_path):
     with pytest.raises(Exception):
         read_listings(spark, str(tmp_path), "2025-04").collect()
     with pytest.raises(Exception):
-        read_listings(spark, str(tmp_path), "2025-04", layout="lines").collect()
+        read_listings(spark, str(tmp_path), "2025-04", layout="array").collect()
 
 
 def test_line_layout_reads_arrays_and_plain_lines(spark, tmp_path):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from casario.functions.formatting import MONTHS
 from casario.functions.text import ORIGINS, UNKNOWN_ORIGIN
 from casario.operators.location import CENTRE, REGIONS, SHORE
-from workload.inputs import MONTH, PLACES
+from workload.inputs import MANY, MONTH, PLACES
 
 
 def text(value: str) -> str:
@@ -201,7 +201,7 @@ def movers(direction: str) -> str:
         [*_TO_OBT, MART_LOCATION],
         f"""SELECT localizacao, secretaria_regional, variacao_m2_pct,
             format('{{:.2f}}%', variacao_m2_pct) AS variacao_texto
-        FROM mart_location WHERE qtd_imoveis > 20 AND date_ref = '{MONTH}'
+        FROM mart_location WHERE qtd_imoveis > {MANY} AND date_ref = '{MONTH}'
         ORDER BY variacao_m2_pct {direction} NULLS LAST, localizacao, secretaria_regional LIMIT 5""",
     )
 
@@ -339,6 +339,14 @@ def oracle_sql() -> dict[str, str]:
             "SELECT id, date_ref, CAST(preco AS DOUBLE) AS preco, area, "
             "CAST(preco / area AS DOUBLE) AS preco_m2 FROM obt",
         ),
+        "feed_lines": sql(
+            [RAW],
+            """SELECT * REPLACE (CASE WHEN preco = 'Sob consulta' AND TRY_CAST(trim(area) AS INTEGER) IS NOT NULL
+                AND area <> '75.5' THEN CAST(CAST(trim(area) AS INTEGER) * 1000 + 1 AS VARCHAR) ELSE preco END AS preco)
+            FROM raw""",
+        ),
+        "audit": sql([RAW], "SELECT count(*) AS n, 0::BIGINT AS sem_data, 1::BIGINT AS datas, true AS passado FROM raw"),
+        "folder_tables": "SELECT page_id, split_part(split_part(url, '/', -1), '-', 1) AS tabela FROM pages",
         "seed_urls": """SELECT s_name AS portal, tipo,
             'https://www.' || lower(s_name) || '.example/' || slug || '/venda/' AS url, 1 AS page
             FROM supplier CROSS JOIN (VALUES ('Casa', 'casas'), ('Apartamento', 'apartamentos')) c(tipo, slug)""",
@@ -428,7 +436,7 @@ def oracle_sql() -> dict[str, str]:
                 *_TO_SILVER,
                 f"""dim AS (
                     SELECT lower({PLACE}) AS name, r_name, n_nationkey FROM nation
-                    JOIN region ON n_regionkey = r_regionkey)""",
+                    JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 4 <> 3)""",
             ],
             """SELECT localizacao, coalesce(r_name, 'Outro') AS secretaria_regional,
                 CASE WHEN n_nationkey % 2 = 0 THEN 'Sim' ELSE 'Não' END AS prox_orla,
@@ -469,7 +477,7 @@ def oracle_sql() -> dict[str, str]:
             _TO_OBT,
             f"""SELECT * EXCLUDE (preco, condo, preco_m2), {AS_DOUBLE} FROM obt
             WHERE tipo = 'PROMO' AND localizacao IN ('Meireles', 'ALDEOTA', 'COCÓ', 'Centro')
-              AND preco BETWEEN 400000 AND 3000000""",
+              AND preco BETWEEN 400000 AND 3000000 AND secretaria_regional = '2'""",
         ),
         "kpis": sql(
             _TO_OBT,
@@ -480,6 +488,9 @@ def oracle_sql() -> dict[str, str]:
                 {half_away('median(preco)')} AS preco_mediano FROM obt)""",
         ),
         "price_trend": sql(
+            [*_TO_OBT, TREND.format(source="obt")], f"SELECT {TREND_ROW} FROM changed"
+        ),
+        "price_trend_type": sql(
             [*_TO_OBT, TREND.format(source="(SELECT * FROM obt WHERE tipo = 'ECONOMY')")],
             f"SELECT {TREND_ROW} FROM changed",
         ),

@@ -41,9 +41,10 @@ from casario.operators import (
 from casario.operators.change import change_or_zero, previous
 from casario.operators.pages import at, attributes, cards, element, on_hosts, open_tag, texts
 from casario.plans import extraction, layers, report
-from casario.sources import query_data
+from casario.schema import FEED
+from casario.sources import folder_table_of, parse_lines, query_data
 from workload import inputs
-from workload.inputs import MONTH, table
+from workload.inputs import MANY, MONTH, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -121,6 +122,36 @@ def adhoc_obt_m2(spark, sf):
     return doubles(result)
 
 
+@query
+def feed_lines(spark, sf):
+    """Listings written as the lines of a JSON array and read again.
+
+    Where the price is 'Sob consulta' it is written as a JSON number with a fraction."""
+    raw = inputs.listings_raw(spark, sf)
+    record = F.to_json(F.struct(*FEED.fieldNames()), {"ignoreNullFields": "false"})
+    number = F.concat(F.lit('"preco":'), (F.col("area").try_cast("int") * 1000).cast("string"), F.lit(".50"))
+    asked = F.when(F.col("area").try_cast("int").isNotNull(), F.replace(record, F.lit('"preco":"Sob consulta"'), number)).otherwise(record)
+    line = F.concat(F.when(F.col("quartos") == "1", "[").otherwise(" "), asked, F.when(F.col("quartos") == "2", "]").otherwise(","))
+    return parse_lines(raw.select(line.alias("value"), "origem", "date_ref"))
+
+
+@query
+def audit(spark, sf):
+    rows = layers.stamped(layers.bronze(inputs.listings_raw(spark, sf)))
+    stamp = F.col(layers.AUDIT)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(stamp.isNull(), 1)).alias("sem_data"),
+        F.count_distinct(stamp).alias("datas"),
+        (F.max(stamp) <= F.current_timestamp()).alias("passado"),
+    )
+
+
+@query
+def folder_tables(spark, sf):
+    return table(spark, sf, "pages").select("page_id", folder_table_of(F.col("url")).alias("tabela"))
+
+
 # --- pages -------------------------------------------------------------------------
 
 
@@ -405,7 +436,7 @@ def filter_listings_(spark, sf):
             inputs.gold_listings(spark, sf),
             tipo="PROMO",
             locations=["Meireles", "ALDEOTA", "COCÓ", "Centro"],
-            region="Todos",
+            region="2",
             price_min=400_000,
             price_max=3_000_000,
         )
@@ -419,6 +450,11 @@ def kpis(spark, sf):
 
 @query
 def price_trend(spark, sf):
+    return doubles(report.price_trend(inputs.gold_listings(spark, sf)))
+
+
+@query
+def price_trend_type(spark, sf):
     gold = filter_listings(inputs.gold_listings(spark, sf), tipo="ECONOMY")
     return doubles(report.price_trend(gold))
 
@@ -440,13 +476,13 @@ def location_rank(spark, sf):
 
 @query
 def top_gainers(spark, sf):
-    return doubles(report.movers(inputs.location_mart(spark, sf), MONTH, min_count=20))
+    return doubles(report.movers(inputs.location_mart(spark, sf), MONTH, min_count=MANY))
 
 
 @query
 def top_losers(spark, sf):
     mart = inputs.location_mart(spark, sf)
-    return doubles(report.movers(mart, MONTH, min_count=20, rising=False))
+    return doubles(report.movers(mart, MONTH, min_count=MANY, rising=False))
 
 
 @query
