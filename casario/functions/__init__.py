@@ -24,6 +24,7 @@ from casario.functions.numeric import (
 )
 from casario.functions.text import (
     before_comma,
+    bind,
     clean_location,
     clean_price,
     decode_entities,
@@ -35,7 +36,7 @@ from casario.functions.text import (
 )
 
 __all__ = [
-    "BANDS", "MART_BANDS", "Band", "band_counts", "before_comma", "clean_location",
+    "BANDS", "MART_BANDS", "Band", "band_counts", "before_comma", "bind", "clean_location",
     "clean_price", "decode_entities", "first_token", "format_currency", "format_integer",
     "format_percent", "listing_id", "month_label", "or_zero", "origin_of",
     "percent_change", "price_band", "price_digits", "price_per_m2", "round_half_away",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Mapping
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,15 +20,8 @@ UNKNOWN_ORIGIN = "Origem Desconhecida"
 # White space as scraped pages have it, the no-break space included.
 BLANKS = " \t\n\r\x0b\x0c\u00a0"
 
-# The entities that listing text uses; the ampersand goes last.
-ENTITIES = {
-    "&nbsp;": "\u00a0",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&amp;": "&",
-}
+# The standard's named characters, for those written with a semicolon and those without.
+ENTITIES = json.dumps(html5)
 
 
 def _drop(text: Column, *parts: str) -> Column:
@@ -70,11 +65,38 @@ def strip_query(url: Column) -> Column:
     return F.substring_index(url, "?", 1)
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once, however often `use` mentions it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def decode_entities(text: Column) -> Column:
-    decoded = text
-    for entity, char in ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    """Text with its character references, named and numeric, replaced by the characters."""
+    names = F.from_json(F.lit(ENTITIES), "map<string,string>")
+
+    def numeric(reference: Column) -> Column:
+        hexadecimal = F.conv(F.regexp_extract(reference, "^#[xX]([0-9A-Fa-f]+)", 1), 16, 10)
+        decimal = F.regexp_extract(reference, "^#([0-9]+)", 1)
+        code = F.when(decimal != "", decimal).otherwise(hexadecimal).cast("int")
+        sound = lambda n: (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        character = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return bind(code, lambda n: F.when(sound(n), character(n)).otherwise("\ufffd"))
+
+    def decoded(piece: Column) -> Column:
+        reference = F.regexp_extract(piece, r"^(#[0-9]{1,7};?|#[xX][0-9A-Fa-f]{1,6};?|[A-Za-z][A-Za-z0-9]*+;?)", 1)
+
+        def replaced(r: Column) -> Column:
+            found = F.when(r.startswith("#"), numeric(r)).when(r != "", F.try_element_at(names, r))
+            rest = F.substring(piece, F.length(r) + 1, F.length(piece))
+            return F.coalesce(F.concat(found, rest), F.concat(F.lit("&"), piece))
+
+        return bind(reference, replaced)
+
+    def joined(pieces: Column) -> Column:
+        tail = F.transform(F.slice(pieces, 2, F.size(pieces)), decoded)
+        return F.concat(F.get(pieces, 0), F.array_join(tail, ""))
+
+    return F.when(text.contains("&"), bind(F.split(text, "&"), joined)).otherwise(text)
 
 
 def origin_of(

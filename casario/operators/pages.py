@@ -1,56 +1,88 @@
 """Pieces of stored HTML pages as column expressions.
 
-An element is found by its opening tag and runs to the closing tag that balances it.
-Patterns use possessive loops, so long or broken pages cost linear time and no stack.
+An element is found by its opening tag and runs to the closing tag that balances it, however
+deep its kind is nested.  Comments and scripts are no markup.  Tag and attribute names match
+in either case; attribute values may be double-quoted, single-quoted or bare.  A paragraph
+ends where a block begins, a list item where the next one does.
+
+Most elements hold no other of their kind, and one pattern reads them all.  Where the number
+of opening tags shows that some do, or something is unclosed, the tags are walked with a
+stack instead.  Patterns use possessive loops, so long or broken pages cost linear time and
+no stack.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casario.functions import decode_entities
+from casario.functions import bind, decode_entities
 
-# How many elements of its own kind an element may contain inside each other.
-NESTING = 4
+# Elements without content, and opening tags that end a paragraph.
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
+BLOCKS = (
+    "address", "article", "aside", "blockquote", "center", "dir", "div", "dl", "fieldset", "footer", "form",
+    "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul",
+)
 
-# Marks the place of a child element between two text nodes.
-_CUT = "\x01"
+_VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+"""
+_REST = rf"(?:[^>=]++|{_VALUE})*+>"
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
+_TOKEN = rf"</?[A-Za-z]{_REST}|<[!?][^>]*+>|(?:[^<]++|<(?![A-Za-z/!?]))++"
+# Stands for something hidden between two text nodes, and for a place to split at.
+_CUT, _MARK = "\x01", "\x02"
 
-# What splits text without having a closing tag.
-_VOID = r"<!--(?s:.*?)-->|<(?:br|hr|img|input|wbr)\b[^>]*>"
-_CHILD = r"<\w[^>]*>[^<]*</\w+>"
-_TAG = r"<[^>]*>"
+
+@dataclass(frozen=True)
+class Element:
+    """A kind of element: its tag and the pattern of its opening tag."""
+
+    tag: str
+    opening: str
+
+    @property
+    def simple(self) -> str:
+        """Pattern of a closed element with none of its kind inside; group 1 is its content."""
+        ends = rf"/?(?i:{self.tag})\b" if self.tag != "p" else rf"(?:/(?i:p)|(?i:{'|'.join(BLOCKS)}))\b"
+        return rf"{self.opening}((?:[^<]++|<(?!{ends}))*+)</(?i:{self.tag})\s*+>"
+
+
+def _before(name: str) -> str:
+    """What stands in a tag before an attribute of this name."""
+    return rf"(?:[^>=\s]++|\s(?!(?i:{re.escape(name)})\s*+=)|{_VALUE})*+\s(?i:{re.escape(name)})\s*+=\s*+"
 
 
 def open_tag(tag: str, classes: Sequence[str] = (), attrs: Mapping[str, str] | None = None) -> str:
     """Pattern of an opening tag that has all the classes and attribute values."""
-    tests = [
-        rf'(?=[^>]*\sclass="(?:[^">]*\s)?{re.escape(name)}(?:\s[^">]*)?")' for name in classes
-    ]
-    tests += [
-        rf'(?=[^>]*\s{re.escape(name)}="{re.escape(value)}")'
-        for name, value in (attrs or {}).items()
-    ]
-    return rf"<{tag}\b{''.join(tests)}[^>]*>"
+    tests = []
+    for name in classes:
+        n = re.escape(name)
+        value = rf"""(?:"(?:[^"]*\s)?{n}(?:\s[^"]*)?"|'(?:[^']*\s)?{n}(?:\s[^']*)?'|{n}(?=[\s>]))"""
+        tests.append(f"(?={_before('class')}{value})")
+    for name, wanted in (attrs or {}).items():
+        v = re.escape(wanted)
+        tests.append(rf"""(?={_before(name)}(?:"{v}"|'{v}'|{v}(?=[\s>])))""")
+    return rf"<(?i:{tag})(?=[\s>/]){''.join(tests)}{_REST}"
 
 
 def element(
     tag: str, classes: Sequence[str] = (), attrs: Mapping[str, str] | None = None
-) -> str:
-    """Pattern of a whole element; group 1 is its content."""
-    other = rf"[^<]++|<(?!/?{tag}\b)"
-    content = rf"(?:{other})*+"
-    for _ in range(NESTING):
-        content = rf"(?:{other}|<{tag}\b[^>]*>{content}</{tag}>)*+"
-    return rf"{open_tag(tag, classes, attrs)}({content})</{tag}>"
+) -> Element:
+    return Element(tag, open_tag(tag, classes, attrs))
 
 
-def cards(pages: DataFrame, card: str, html: str = "html") -> DataFrame:
-    """One row per card: the page from each opening tag that matches up to the next.
+def visible(html: Column) -> Column:
+    """The page without comments and scripts; a mark keeps the text around them apart."""
+    clean = F.regexp_replace(html, _HIDDEN, _CUT)
+    return F.when(html.rlike("(?i)<!--|<script|<style"), clean).otherwise(html)
+
+
+def cards(pages: DataFrame, card: Element, html: str = "html") -> DataFrame:
+    """One row per element that matches, with its tags; one inside another gives a row too.
 
     All other columns of the page are carried along.  Adds `card_no` (from 0) and `card`.
     """
@@ -58,36 +90,169 @@ def cards(pages: DataFrame, card: str, html: str = "html") -> DataFrame:
     return pages.select(*others, F.posexplode(card_list(F.col(html), card)).alias("card_no", "card"))
 
 
-def card_list(html: Column, card: str) -> Column:
-    pieces = F.split(html, card)
-    return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+def card_list(html: Column, card: Element) -> Column:
+    """The elements that match, from opening to closing tag, in page order."""
+    def of_shown(shown: Column) -> Column:
+        simple = F.regexp_extract_all(shown, F.lit(card.simple), F.lit(0))
+        every = F.regexp_count(shown, F.lit(card.opening))
+        return bind(simple, lambda found: F.when(F.size(found) == every, found).otherwise(by_count(shown)))
+
+    def by_count(shown: Column) -> Column:
+        marked = F.split(F.regexp_replace(shown, f"({card.opening})", f"{_MARK}$1"), _MARK)
+        return bind(F.slice(marked, 2, F.size(marked)), lambda pieces: F.transform(pieces, lambda piece, k: closed(pieces, piece, k)))
+
+    def closed(pieces: Column, piece: Column, k: Column) -> Column:
+        # What follows the next opening tag is only needed if the element is still open there.
+        rest = F.array_join(F.slice(pieces, k + 1, F.size(pieces)), "")
+        return F.coalesce(_to_end(piece, card.tag), bind(rest, lambda text: F.coalesce(_to_end(text, card.tag), text)))
+
+    return bind(visible(html), of_shown)
+
+
+def _to_end(html: Column, tag: str) -> Column:
+    """`html`, which begins with an opening tag, up to where that element ends; else NULL."""
+    if tag == "li":
+        steps, up, down = "li|ul|ol", r"^<(?:ul|ol)", r"^</(?:ul|ol)"
+    elif tag == "p":
+        steps, up, down = "|".join(BLOCKS), None, None
+    else:
+        steps, up, down = tag, rf"^<{tag}", rf"^</{tag}"
+    parts = F.split(F.regexp_replace(html, rf"(?i)(</?(?:{steps})(?=[\s>/]))", f"{_MARK}$1"), _MARK)
+
+    def step(state: Column, part: Column) -> Column:
+        return bind(F.lower(F.substring(part, 1, 8)), lambda low: moved(state, low))
+
+    def moved(state: Column, low: Column) -> Column:
+        if tag == "p":
+            depth, ended = state["depth"], ~low.rlike("^</(?!p[^a-z])")
+        elif tag == "li":
+            depth = state["depth"] + F.when(low.rlike(up), 1).when(low.rlike(down), -1).otherwise(0)
+            ended = (depth < 0) | (state["depth"] == 0) & low.rlike("^</?li")
+        else:
+            depth = state["depth"] + F.when(low.startswith("</"), -1).otherwise(1)
+            ended = depth < 0
+        open_ = state["end"] == 0
+        own_close = low.startswith(f"</{tag}")
+        return F.struct(
+            F.when(open_, depth).otherwise(state["depth"]).alias("depth"),
+            (state["at"] + 1).alias("at"),
+            F.when(open_ & ended, state["at"] + 1).otherwise(state["end"]).alias("end"),
+            F.when(open_ & ended, own_close).otherwise(state["close"]).alias("close"),
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(2).alias("at"), F.lit(0).alias("end"), F.lit(False).alias("close"))
+
+    def taken(parts: Column) -> Column:
+        # The first part is empty and the second begins with the element's own opening tag.
+        return bind(F.aggregate(F.slice(parts, 3, F.size(parts)), start, step), lambda found: upto(parts, found))
+
+    def upto(parts: Column, found: Column) -> Column:
+        kept = F.array_join(F.slice(parts, 1, F.greatest(found["end"] - 1, F.lit(0))), "")
+        closing = F.regexp_extract(F.get(parts, found["end"] - 1), r"^</[^>]*+>", 0)
+        return F.when(found["end"] > 0, F.concat(kept, F.when(found["close"], closing).otherwise("")))
+
+    return bind(parts, taken)
 
 
-def texts(html: Column, pattern: str, within: str | None = None) -> Column:
+def texts(html: Column, pattern: Element, within: Element | None = None) -> Column:
     """Text nodes directly under the elements that match, in page order.
 
-    `within` narrows the search to the content of the elements that match it.
+    `within` narrows the search to what the elements that match it contain.
     """
-    if within is None:
-        contents = _contents(html, pattern)
-    else:
-        blocks = _contents(html, within)
-        contents = F.flatten(F.transform(blocks, lambda block: _contents(block, pattern)))
-    return F.flatten(F.transform(contents, _direct_text))
+    def count(shown: Column, kind: Element) -> Column:
+        return F.regexp_count(shown, F.lit(kind.opening))
+
+    def of_shown(shown: Column) -> Column:
+        walked = _walk(shown, pattern, within)
+        quick = lambda contents: F.flatten(F.transform(contents, _direct_text))
+        if within is None:
+            return bind(
+                _contents(shown, pattern),
+                lambda contents: F.when(F.size(contents) == count(shown, pattern), quick(contents)).otherwise(walked),
+            )
+
+        def of_blocks(blocks: Column) -> Column:
+            openings = F.aggregate(blocks, F.lit(0), lambda n, block: n + count(block, pattern))
+            contents = F.flatten(F.transform(blocks, lambda block: _contents(block, pattern)))
+            simple = lambda found: (F.size(found) == openings) & (F.size(blocks) == count(shown, within))
+            return bind(contents, lambda found: F.when(simple(found), quick(found)).otherwise(walked))
+
+        return bind(_contents(shown, within), of_blocks)
+
+    pieces = lambda node: F.when(node.contains(_CUT), F.split(node, _CUT)).otherwise(F.array(node))
+    nodes = F.flatten(F.transform(bind(visible(html), of_shown), pieces))
+    return F.transform(F.filter(nodes, lambda node: node != ""), decode_entities)
 
 
-def _contents(html: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+def _contents(html: Column, pattern: Element) -> Column:
+    return F.regexp_extract_all(html, F.lit(pattern.simple), F.lit(1))
 
 
 def _direct_text(content: Column) -> Column:
-    """Text nodes of an element; most elements hold plain text, which needs no pattern."""
-    text = F.regexp_replace(content, _VOID, _CUT)
-    for _ in range(NESTING):
-        text = F.regexp_replace(text, _CHILD, _CUT)
-    pieces = F.split(F.regexp_replace(text, _TAG, _CUT), _CUT)
-    nodes = F.when(content.contains("<"), pieces).otherwise(F.array(content))
-    return F.transform(F.filter(nodes, lambda node: node != ""), decode_entities)
+    """Text nodes of an element; most elements hold plain text, which needs no walk."""
+    return F.when(content.contains("<"), _walk(content, None, None)).otherwise(F.array(content))
+
+
+def _walk(html: Column, pattern: Element | None, within: Element | None) -> Column:
+    """Walk the tags of a page with a stack of open elements, and collect text nodes.
+
+    Those directly under elements that match, inside of `within`; without a pattern those
+    under no element at all.
+    """
+    tokens = F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0))
+
+    def step(state: Column, token: Column) -> Column:
+        tag = F.struct(
+            F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s>/]*+)", 1)).alias("name"),
+            token.rlike("^<[A-Za-z]").alias("opens"),
+            token.startswith("</").alias("closes"),
+        )
+        here = F.coalesce(F.try_element_at(state["marks"], F.lit(-1)), F.lit(pattern is None))
+        text = F.struct(
+            state["names"].alias("names"), state["marks"].alias("marks"), state["inside"].alias("inside"),
+            F.when(here, F.concat(state["texts"], F.array(token))).otherwise(state["texts"]).alias("texts"),
+        )
+        moved = bind(tag, lambda t: bind(ended(state["names"], t), lambda n: after(state, token, t, n)))
+        return F.when(token.rlike("^</?[A-Za-z]"), moved).when(token.rlike("^<[!?]"), state).otherwise(text)
+
+    def ended(names: Column, tag: Column) -> Column:
+        """How many open elements a tag ends."""
+
+        def by_place(backwards: Column) -> Column:
+            place = lambda name: F.array_position(backwards, name).cast("int")
+            inmost = lambda *names: F.coalesce(F.array_min(F.filter(F.array(*map(place, names)), lambda n: n > 0)), F.lit(1 << 30))
+            return (
+                F.when(tag["closes"], place(tag["name"]))
+                .when(tag["name"].isin(*BLOCKS), place("p"))
+                .when((tag["name"] == "li") & (inmost("li") < inmost("ul", "ol")), place("li"))
+                .otherwise(0)
+            )
+
+        return bind(F.reverse(names), by_place)
+
+    def after(state: Column, token: Column, tag: Column, n: Column) -> Column:
+        cut = lambda values: F.when(n > 0, F.slice(values, 1, F.size(values) - n)).otherwise(values)
+        pushed = tag["opens"] & ~tag["name"].isin(*VOID) & ~token.endswith("/>")
+        push = lambda values, value: F.when(pushed, F.concat(values, F.array(value))).otherwise(values)
+        above = lambda inside: F.coalesce(F.try_element_at(inside, F.lit(-1)), F.lit(within is None))
+        match = lambda inside: above(inside) & token.rlike(f"^{pattern.opening}") if pattern else F.lit(False)
+        inner = lambda inside: above(inside) | token.rlike(f"^{within.opening}") if within else F.lit(True)
+        return bind(
+            cut(state["inside"]),
+            lambda inside: F.struct(
+                push(cut(state["names"]), tag["name"]).alias("names"),
+                push(cut(state["marks"]), match(inside)).alias("marks"),
+                push(inside, inner(inside)).alias("inside"),
+                state["texts"].alias("texts"),
+            ),
+        )
+
+    empty = lambda kind: F.array().cast(f"array<{kind}>")
+    start = F.struct(
+        empty("string").alias("names"), empty("boolean").alias("marks"),
+        empty("boolean").alias("inside"), empty("string").alias("texts"),
+    )
+    return F.aggregate(tokens, start, step, lambda state: state["texts"])
 
 
 def at(values: Column, index: int) -> Column:
@@ -96,14 +261,21 @@ def at(values: Column, index: int) -> Column:
 
 
 def attributes(html: Column, tag: str, name: str) -> Column:
-    """Values of one attribute on all elements of a kind."""
-    pattern = rf'<{tag}\b[^>]*?\s{name}="([^"]*)"'
+    """Values of one attribute on all elements of a kind, outside comments and scripts."""
+    return _values(visible(html), tag, name)
+
+
+def _values(html: Column, tag: str, name: str) -> Column:
+    pattern = rf"""<(?i:{tag})(?=[\s/]){_before(name)}("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
     values = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
-    return F.transform(values, decode_entities)
+    return F.transform(values, lambda value: decode_entities(F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")))
 
 
 def resolve(base: Column, link: Column) -> Column:
-    """Absolute form of a link found on the page `base`."""
+    """Absolute form of a link found on the page `base`.
+
+    Both are used many times: pass columns, not long expressions.
+    """
     site = F.concat(F.try_parse_url(base, F.lit("PROTOCOL")), F.lit("://"),
                     F.try_parse_url(base, F.lit("AUTHORITY")))
     page = F.regexp_replace(base, r"[?#].*$", "")
@@ -142,12 +314,16 @@ def _without_dots(path: Column) -> Column:
     return F.concat(F.array_join(kept, "/"), end)
 
 
-def next_link(url: Column, html: Column, page: Column, last_page: int) -> Column:
-    """Absolute address of the page's rel="next" link, before the last page."""
-    pattern = open_tag("a", attrs={"rel": "next"})
-    tag = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
-    link = at(attributes(at(tag, 0), "a", "href"), 0)
-    return F.when((page < last_page) & (link != ""), resolve(url, link))
+def link_to_next(html: Column) -> Column:
+    """The link of the page's first rel="next" element, as it is written."""
+    shown = visible(html)
+    tag = F.regexp_extract(shown, open_tag("a", attrs={"rel": "next"}), 0)
+    return at(_values(tag, "a", "href"), 0)
+
+
+def base_of(html: Column) -> Column:
+    """The link of the page's first base element, as it is written."""
+    return at(attributes(html, "base", "href"), 0)
 
 
 def on_hosts(url: Column, hosts: Sequence[str]) -> Column:

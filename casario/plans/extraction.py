@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from casario.functions import clean_location, clean_price, first_token, strip_query
 from casario.operators.pages import (
+    Element,
     at,
+    base_of,
     card_list,
     element,
-    next_link,
+    link_to_next,
     on_hosts,
-    open_tag,
+    resolve,
     texts,
 )
 from casario.schema import FEED
@@ -32,8 +34,8 @@ LAST_NUMBERED, LAST_LINKED = 50, 99
 class Texts:
     """A list of text nodes on a card: under `pattern`, inside `within` if given."""
 
-    pattern: str
-    within: str | None = None
+    pattern: Element
+    within: Element | None = None
 
     def read(self, card: Column) -> Column:
         return texts(card, self.pattern, self.within)
@@ -59,7 +61,7 @@ class PortalSpec:
     hosts: tuple[str, ...]
     template: str
     categories: Mapping[str, str]
-    card: str
+    card: Element
     lists: Mapping[str, Texts]
     picks: Mapping[str, Pick]
 
@@ -112,7 +114,7 @@ PORTALS = (
             "Apartamento": "apartamentos-a-venda",
             "Condomínio": "casas-em-condominio-a-venda",
         },
-        card=open_tag("span", ["card-module__1awNxG__cardContent"]),
+        card=element("span", ["card-module__1awNxG__cardContent"]),
         lists=_A_LISTS,
         picks=_A_PICKS,
     ),
@@ -125,7 +127,7 @@ PORTALS = (
             "Casa": "casa_residencial",
             "Condomínio": "condominio_residencial",
         },
-        card=open_tag("li", attrs={"data-cy": "rp-property-cd"}),
+        card=element("li", attrs={"data-cy": "rp-property-cd"}),
         lists=_B_LISTS,
         picks=_B_PICKS,
     ),
@@ -138,7 +140,7 @@ PORTALS = (
             "Apartamento": "apartamentos",
             "Condomínio": "casas-de-condominio",
         },
-        card=open_tag("div", ["flex", "flex-col", "content-stretch"]),
+        card=element("div", ["flex", "flex-col", "content-stretch"]),
         lists=_B_LISTS,
         picks=_B_PICKS,
     ),
@@ -185,9 +187,12 @@ def page_urls(seeds: DataFrame, max_page: int = LAST_NUMBERED) -> DataFrame:
 def follow_links(pages: DataFrame, last_page: int = LAST_LINKED) -> DataFrame:
     """The next page that each stored page links to, for portals without page numbers."""
     others = [name for name in pages.columns if name not in ("url", "page", "html")]
-    link = next_link(F.col("url"), F.col("html"), F.col("page"), last_page)
-    found = pages.select(*others, link.alias("url"), (F.col("page") + 1).alias("page"))
-    return found.where(F.col("url").isNotNull())
+    linked = pages.where(F.col("page") < last_page).select(
+        *others, "url", "page", link_to_next(F.col("html")).alias("_link"), base_of(F.col("html")).alias("_base")
+    ).where(F.col("_link") != "")
+    based = F.when(F.coalesce(F.col("_base"), F.lit("")) != "", resolve(F.col("url"), F.col("_base")))
+    found = linked.withColumn("url", F.coalesce(based, "url")).withColumn("url", resolve(F.col("url"), F.col("_link")))
+    return found.select(*others, "url", (F.col("page") + 1).alias("page"))
 
 
 def allowed(pages: DataFrame, portals: Sequence[PortalSpec] = PORTALS) -> DataFrame:
@@ -195,14 +200,21 @@ def allowed(pages: DataFrame, portals: Sequence[PortalSpec] = PORTALS) -> DataFr
     return pages.where(on_hosts(F.col("url"), [host for spec in portals for host in spec.hosts]))
 
 
+def unknown_portals(pages: DataFrame, portals: Sequence[PortalSpec] = PORTALS) -> DataFrame:
+    """Pages whose portal has no layout, counted by portal."""
+    known = F.coalesce(F.lower("portal").isin([spec.name for spec in portals]), F.lit(False))
+    return pages.where(~known).groupBy("portal").agg(F.count(F.lit(1)).alias("n"))
+
+
 def extract_listings(
     pages: DataFrame, portals: Sequence[PortalSpec] = PORTALS, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Feed records of all cards on the pages, plus the page columns named in `keep`.
 
     `pages` has url, html, portal, tipo and page.  One pass serves all portals: the
-    portal column chooses the layout row by row.  Each text list of a card is read once
-    and its entries are picked afterwards.
+    portal column chooses the layout row by row, in either case.  Each text list of a card is
+    read once and its entries are picked afterwards.  A page of an unknown portal fails the
+    job; see `unknown_portals`.
     """
 
     def by_portal(choose: Callable[[PortalSpec], object], build: Callable[..., Column]) -> Column:
@@ -213,11 +225,14 @@ def extract_listings(
         result = F.lit(None)
         for layout, names in layouts.items():
             if layout is not None:
-                result = F.when(F.col("portal").isin(names), build(layout)).otherwise(result)
+                result = F.when(F.lower("portal").isin(names), build(layout)).otherwise(result)
         return result
 
     carried = list(dict.fromkeys(["portal", "tipo", *keep]))
     found = by_portal(lambda spec: spec.card, lambda card: card_list(F.col("html"), card))
+    unknown = F.raise_error(F.concat(F.lit("no layout for portal "), F.coalesce("portal", F.lit("NULL"))))
+    known = F.lower("portal").isin([spec.name for spec in portals])
+    found = F.when(F.coalesce(known, F.lit(False)), found).otherwise(unknown)
     each = pages.select(*carried, F.explode(found).alias("card"))
     sources = list(dict.fromkeys(name for spec in portals for name in spec.lists))
     lists = each.select(

@@ -367,10 +367,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT page_id, list_transform({LINKS}, lambda x: {decoded('x')}) AS links FROM pages)""",
         "host_filter": f"""SELECT page_id, url FROM pages
             WHERE {HOST} LIKE '%.example.com' OR {HOST} IN ('example.com', 'spam-farm.example.org')""",
-        "page_cards": """SELECT page_id, tipo, page, i AS card_no, pieces[i + 2] AS card FROM (
+        "page_cards": """SELECT page_id, tipo, page, i AS card_no, pieces[i + 1] AS card FROM (
             SELECT page_id, regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS tipo,
                 coalesce(TRY_CAST(nullif(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS INTEGER), 1) AS page,
-                string_split(html, '<p>') AS pieces, CAST(unnest(range(len(string_split(html, '<p>')) - 1)) AS INTEGER) AS i
+                regexp_extract_all(html, '(?s)<p>.*?</p>') AS pieces,
+                CAST(unnest(range(len(regexp_extract_all(html, '(?s)<p>.*?</p>')))) AS INTEGER) AS i
             FROM pages)""",
         "page_texts": f"""SELECT page_id, len(t) AS n_texts, t[2] AS second, t[41] AS out_of_range,
             t[-1] AS last, array_to_string(t, '|') AS texts FROM (

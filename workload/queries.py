@@ -39,7 +39,7 @@ from casario.operators import (
     unique,
 )
 from casario.operators.change import change_or_zero, previous
-from casario.operators.pages import at, attributes, cards, element, on_hosts, open_tag, texts
+from casario.operators.pages import at, attributes, cards, element, on_hosts, texts
 from casario.plans import extraction, layers, report
 from casario.schema import FEED
 from casario.sources import folder_table_of, parse_lines, query_data
@@ -202,7 +202,7 @@ def host_filter(spark, sf):
 
 @query
 def page_cards(spark, sf):
-    return cards(inputs.page_kind(table(spark, sf, "pages")), open_tag("p"))
+    return cards(inputs.page_kind(table(spark, sf, "pages")), element("p"))
 
 
 @query
