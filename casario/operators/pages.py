@@ -33,6 +33,9 @@ _VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+"""
 _REST = rf"(?:[^>=]++|{_VALUE})*+>"
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
 _TOKEN = rf"</?[A-Za-z]{_REST}|<[!?][^>]*+>|(?:[^<]++|<(?![A-Za-z/!?]))++"
+# A tag that opens an element with content, and a tag name that ends a paragraph.
+_OPENS = rf"^<(?!(?i:{'|'.join(VOID)})\b)[A-Za-z](?![\s\S]*/>$)"
+_IS_BLOCK = rf"^(?:{'|'.join(BLOCKS)})$"
 # Stands for something hidden between two text nodes, and for a place to split at.
 _CUT, _MARK = "\x01", "\x02"
 
@@ -47,7 +50,7 @@ class Element:
     @property
     def simple(self) -> str:
         """Pattern of a closed element with none of its kind inside; group 1 is its content."""
-        ends = rf"/?(?i:{self.tag})\b" if self.tag != "p" else rf"(?:/(?i:p)|(?i:{'|'.join(BLOCKS)}))\b"
+        ends = rf"/?(?i:{self.tag})\b" if self.tag != "p" else rf"/?(?i:{'|'.join(BLOCKS)})\b"
         return rf"{self.opening}((?:[^<]++|<(?!{ends}))*+)</(?i:{self.tag})\s*+>"
 
 
@@ -59,10 +62,12 @@ def _before(name: str) -> str:
 def open_tag(tag: str, classes: Sequence[str] = (), attrs: Mapping[str, str] | None = None) -> str:
     """Pattern of an opening tag that has all the classes and attribute values."""
     tests = []
-    for name in classes:
-        n = re.escape(name)
-        value = rf"""(?:"(?:[^"]*\s)?{n}(?:\s[^"]*)?"|'(?:[^']*\s)?{n}(?:\s[^']*)?'|{n}(?=[\s>]))"""
-        tests.append(f"(?={_before('class')}{value})")
+    if classes:
+        values = [
+            rf"""(?=(?:"(?:[^"]*\s)?{n}(?:\s[^"]*)?"|'(?:[^']*\s)?{n}(?:\s[^']*)?'|{n}(?=[\s>])))"""
+            for n in map(re.escape, classes)
+        ]
+        tests.append(f"(?={_before('class')}{''.join(values)})")
     for name, wanted in (attrs or {}).items():
         v = re.escape(wanted)
         tests.append(rf"""(?={_before(name)}(?:"{v}"|'{v}'|{v}(?=[\s>])))""")
@@ -92,10 +97,13 @@ def cards(pages: DataFrame, card: Element, html: str = "html") -> DataFrame:
 
 def card_list(html: Column, card: Element) -> Column:
     """The elements that match, from opening to closing tag, in page order."""
-    def of_shown(shown: Column) -> Column:
-        simple = F.regexp_extract_all(shown, F.lit(card.simple), F.lit(0))
+    return bind(visible(html), lambda shown: _elements(shown, card))
+
+
+def _elements(shown: Column, card: Element) -> Column:
+    def found(simple: Column) -> Column:
         every = F.regexp_count(shown, F.lit(card.opening))
-        return bind(simple, lambda found: F.when(F.size(found) == every, found).otherwise(by_count(shown)))
+        return F.when(F.size(simple) == every, simple).otherwise(by_count(shown))
 
     def by_count(shown: Column) -> Column:
         marked = F.split(F.regexp_replace(shown, f"({card.opening})", f"{_MARK}$1"), _MARK)
@@ -106,7 +114,7 @@ def card_list(html: Column, card: Element) -> Column:
         rest = F.array_join(F.slice(pieces, k + 1, F.size(pieces)), "")
         return F.coalesce(_to_end(piece, card.tag), bind(rest, lambda text: F.coalesce(_to_end(text, card.tag), text)))
 
-    return bind(visible(html), of_shown)
+    return bind(F.regexp_extract_all(shown, F.lit(card.simple), F.lit(0)), found)
 
 
 def _to_end(html: Column, tag: str) -> Column:
@@ -124,7 +132,7 @@ def _to_end(html: Column, tag: str) -> Column:
 
     def moved(state: Column, low: Column) -> Column:
         if tag == "p":
-            depth, ended = state["depth"], ~low.rlike("^</(?!p[^a-z])")
+            depth, ended = state["depth"], F.lit(True)
         elif tag == "li":
             depth = state["depth"] + F.when(low.rlike(up), 1).when(low.rlike(down), -1).otherwise(0)
             ended = (depth < 0) | (state["depth"] == 0) & low.rlike("^</?li")
@@ -172,12 +180,14 @@ def texts(html: Column, pattern: Element, within: Element | None = None) -> Colu
             )
 
         def of_blocks(blocks: Column) -> Column:
-            openings = F.aggregate(blocks, F.lit(0), lambda n, block: n + count(block, pattern))
+            total = lambda kind: F.aggregate(blocks, F.lit(0), lambda n, block: n + count(block, kind))
             contents = F.flatten(F.transform(blocks, lambda block: _contents(block, pattern)))
-            simple = lambda found: (F.size(found) == openings) & (F.size(blocks) == count(shown, within))
-            return bind(contents, lambda found: F.when(simple(found), quick(found)).otherwise(walked))
+            # Blocks inside each other would give their texts twice.
+            simple = lambda texts: (F.size(texts) == total(pattern)) & (total(within) == 0)
+            return bind(contents, lambda texts: F.when(simple(texts), quick(texts)).otherwise(walked))
 
-        return bind(_contents(shown, within), of_blocks)
+        blocks = F.transform(_elements(shown, within), lambda block: F.regexp_replace(block, f"^{within.opening}", ""))
+        return bind(blocks, of_blocks)
 
     pieces = lambda node: F.when(node.contains(_CUT), F.split(node, _CUT)).otherwise(F.array(node))
     nodes = F.flatten(F.transform(bind(visible(html), of_shown), pieces))
@@ -189,69 +199,62 @@ def _contents(html: Column, pattern: Element) -> Column:
 
 
 def _direct_text(content: Column) -> Column:
-    """Text nodes of an element; most elements hold plain text, which needs no walk."""
-    return F.when(content.contains("<"), _walk(content, None, None)).otherwise(F.array(content))
+    """Text nodes of an element; most elements hold plain text, which needs no counting."""
 
+    def step(state: Column, token: Column) -> Column:
+        change = F.when(token.rlike(_OPENS), 1).when(token.startswith("</"), -1)
+        return (
+            F.when(change.isNotNull(), F.struct(F.greatest(state["depth"] + change, F.lit(0)).alias("depth"), state["texts"].alias("texts")))
+            .when((state["depth"] > 0) | token.startswith("<") & token.rlike("^<[A-Za-z!?]"), state)
+            .otherwise(F.struct(state["depth"].alias("depth"), F.concat(state["texts"], F.array(token)).alias("texts")))
+        )
+
+    tokens = F.regexp_extract_all(content, F.lit(_TOKEN), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("texts"))
+    counted = F.aggregate(tokens, start, step, lambda state: state["texts"])
+    return F.when(content.contains("<"), counted).otherwise(F.array(content))
 
-def _walk(html: Column, pattern: Element | None, within: Element | None) -> Column:
-    """Walk the tags of a page with a stack of open elements, and collect text nodes.
 
-    Those directly under elements that match, inside of `within`; without a pattern those
-    under no element at all.
+def _walk(html: Column, pattern: Element, within: Element | None) -> Column:
+    """Text nodes directly under the elements that match, inside of `within`, by walking all tags.
+
+    The stack of open elements is a text of entries like `/div:01`: the name, whether the
+    element matches, and whether what it contains is inside of `within`.
     """
-    tokens = F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0))
 
     def step(state: Column, token: Column) -> Column:
-        tag = F.struct(
-            F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s>/]*+)", 1)).alias("name"),
-            token.rlike("^<[A-Za-z]").alias("opens"),
-            token.startswith("</").alias("closes"),
+        name = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s>/]*+)", 1))
+        at_text = F.substring(state["stack"], -2, 1) == "1"
+        text = F.when(at_text, F.concat(state["texts"], F.array(token))).otherwise(state["texts"])
+        moved = bind(name, lambda n: bind(kept(state["stack"], token, n), lambda left: pushed(left, token, n)))
+        return F.struct(
+            F.when(token.rlike("^</?[A-Za-z]"), moved).otherwise(state["stack"]).alias("stack"),
+            F.when(token.rlike("^<[A-Za-z/!?]"), state["texts"]).otherwise(text).alias("texts"),
         )
-        here = F.coalesce(F.try_element_at(state["marks"], F.lit(-1)), F.lit(pattern is None))
-        text = F.struct(
-            state["names"].alias("names"), state["marks"].alias("marks"), state["inside"].alias("inside"),
-            F.when(here, F.concat(state["texts"], F.array(token))).otherwise(state["texts"]).alias("texts"),
-        )
-        moved = bind(tag, lambda t: bind(ended(state["names"], t), lambda n: after(state, token, t, n)))
-        return F.when(token.rlike("^</?[A-Za-z]"), moved).when(token.rlike("^<[!?]"), state).otherwise(text)
-
-    def ended(names: Column, tag: Column) -> Column:
-        """How many open elements a tag ends."""
-
-        def by_place(backwards: Column) -> Column:
-            place = lambda name: F.array_position(backwards, name).cast("int")
-            inmost = lambda *names: F.coalesce(F.array_min(F.filter(F.array(*map(place, names)), lambda n: n > 0)), F.lit(1 << 30))
-            return (
-                F.when(tag["closes"], place(tag["name"]))
-                .when(tag["name"].isin(*BLOCKS), place("p"))
-                .when((tag["name"] == "li") & (inmost("li") < inmost("ul", "ol")), place("li"))
-                .otherwise(0)
-            )
 
-        return bind(F.reverse(names), by_place)
-
-    def after(state: Column, token: Column, tag: Column, n: Column) -> Column:
-        cut = lambda values: F.when(n > 0, F.slice(values, 1, F.size(values) - n)).otherwise(values)
-        pushed = tag["opens"] & ~tag["name"].isin(*VOID) & ~token.endswith("/>")
-        push = lambda values, value: F.when(pushed, F.concat(values, F.array(value))).otherwise(values)
-        above = lambda inside: F.coalesce(F.try_element_at(inside, F.lit(-1)), F.lit(within is None))
-        match = lambda inside: above(inside) & token.rlike(f"^{pattern.opening}") if pattern else F.lit(False)
-        inner = lambda inside: above(inside) | token.rlike(f"^{within.opening}") if within else F.lit(True)
-        return bind(
-            cut(state["inside"]),
-            lambda inside: F.struct(
-                push(cut(state["names"]), tag["name"]).alias("names"),
-                push(cut(state["marks"]), match(inside)).alias("marks"),
-                push(inside, inner(inside)).alias("inside"),
-                state["texts"].alias("texts"),
-            ),
-        )
+    def kept(stack: Column, token: Column, name: Column) -> Column:
+        """The stack without the elements that this tag ends."""
+        ended = F.when(token.startswith("</") | (name == "li"), name).when(name.rlike(_IS_BLOCK), "p").otherwise("none")
+
+        def cut(key: Column) -> Column:
+            after = F.call_function("substring_index", stack, key, F.lit(-1))
+            shorter = F.left(stack, F.length(stack) - F.length(after) - F.length(key))
+            nested = token.rlike("^<[lL]") & after.rlike("/(?:ul|ol):")
+            return F.when(stack.contains(key) & ~nested, shorter).otherwise(stack)
+
+        return bind(F.concat(F.lit("/"), ended, F.lit(":")), cut)
+
+    def pushed(stack: Column, token: Column, name: Column) -> Column:
+        bit = lambda test: F.when(test, "1").otherwise("0")
+        inside = stack.endswith("1")
+        inner = inside | token.rlike(f"^{within.opening}") if within else F.lit(True)
+        entry = F.concat(F.lit("/"), name, F.lit(":"), bit(inside & token.rlike(f"^{pattern.opening}")), bit(inner))
+        return F.when(token.rlike(_OPENS), F.concat(stack, entry)).otherwise(stack)
 
-    empty = lambda kind: F.array().cast(f"array<{kind}>")
     start = F.struct(
-        empty("string").alias("names"), empty("boolean").alias("marks"),
-        empty("boolean").alias("inside"), empty("string").alias("texts"),
-    )
+        F.lit(":00" if within else ":01").alias("stack"), F.array().cast("array<string>").alias("texts")
+    )
+    tokens = F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0))
     return F.aggregate(tokens, start, step, lambda state: state["texts"])
 
 

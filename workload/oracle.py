@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from casario.functions.formatting import MONTHS
 from casario.functions.text import ORIGINS, UNKNOWN_ORIGIN
 from casario.operators.location import CENTRE, REGIONS, SHORE
+from casario.operators.pages import BLOCKS
 from workload.inputs import MANY, MONTH, PLACES
 
 
@@ -367,12 +368,15 @@ def oracle_sql() -> dict[str, str]:
             SELECT page_id, list_transform({LINKS}, lambda x: {decoded('x')}) AS links FROM pages)""",
         "host_filter": f"""SELECT page_id, url FROM pages
             WHERE {HOST} LIKE '%.example.com' OR {HOST} IN ('example.com', 'spam-farm.example.org')""",
-        "page_cards": """SELECT page_id, tipo, page, i AS card_no, pieces[i + 1] AS card FROM (
-            SELECT page_id, regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS tipo,
-                coalesce(TRY_CAST(nullif(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS INTEGER), 1) AS page,
-                regexp_extract_all(html, '(?s)<p>.*?</p>') AS pieces,
-                CAST(unnest(range(len(regexp_extract_all(html, '(?s)<p>.*?</p>')))) AS INTEGER) AS i
-            FROM pages)""",
+        "page_cards": rf"""SELECT page_id, tipo, page, CAST(i AS INTEGER) AS card_no,
+            '<p>' || body || CASE WHEN starts_with(substr(piece, length(body) + 1), '</p>') THEN '</p>' ELSE '' END AS card
+            FROM (
+                SELECT *, regexp_extract(piece, '(?s)^(.*?)(?:</?(?:{'|'.join(BLOCKS)})[\s>/]|$)', 1) AS body FROM (
+                    SELECT page_id, regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS tipo,
+                        coalesce(TRY_CAST(nullif(regexp_extract(url, '[?&]page=([0-9]+)', 1), '') AS INTEGER), 1) AS page,
+                        unnest(range(len(pieces) - 1)) AS i, unnest(pieces[2:]) AS piece
+                    FROM (SELECT *, string_split(regexp_replace(html,
+                        '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', chr(1), 'g'), '<p>') AS pieces FROM pages)))""",
         "page_texts": f"""SELECT page_id, len(t) AS n_texts, t[2] AS second, t[41] AS out_of_range,
             t[-1] AS last, array_to_string(t, '|') AS texts FROM (
             SELECT page_id, list_transform({NAV_TEXTS}, lambda x: {decoded('x')}) AS t FROM pages)""",
