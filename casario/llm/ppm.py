@@ -1,16 +1,21 @@
 """Prediction by partial matching over bytes, and a unigram base over words.
 
-The trie holds the counts of all byte contexts of up to `ORDER` bytes that training texts
+The trie holds the counts of all byte contexts of up to `order` bytes that training texts
 have.  A byte that a context has seen costs its count over the context's total plus its
 distinct symbols; any other costs an escape (the distinct symbols over the same sum), and
 then what the next shorter context says with the symbols of the longer ones excluded; the
 last resort is uniform over what is left.  The model is pretrained on the training
 documents and fixed; a text's score is its log10 probability with its end (byte 0).
 
-With contexts of two bytes the trie has 2**24 nodes at most, whatever the corpus.  So its
-counts may be gathered and sent to every executor.  The word counts have no such bound:
-the most frequent words (`HOT_WORDS`, each of at most `HOT_BYTES` bytes) are sent along with
-exact counts, and all others are joined.
+The trie is a written table of grams (a context of `order` bytes and the byte after it) with
+their counts; it grows with the corpus, and shorter contexts are sums of it.  A byte's price
+depends on its gram alone, so every distinct gram is priced once: a seen one by its context, an
+unseen one from the longest context down.  As the symbols of a context are among those of the
+next shorter one, what is excluded there is a sum kept with the longer context.
+
+The most frequent grams (`HOT_GRAMS`) and words (`HOT_WORDS`, each of at most `HOT_BYTES` bytes)
+are sent to every executor with exact prices; all others are joined.  Both numbers bound
+memory, not results.
 
 Training documents are those whose crc32 of the id as text is not `HELD_OUT` modulo
 `FOLDS`; a null id counts as the empty string.  A null text is an empty one: just an end.
@@ -29,18 +34,24 @@ from pyspark.sql import functions as F
 
 from casario.llm.common import space_words, struct_udf, written
 
+#: Bytes of the longest context unless the caller names more (six at most: a gram is one number).
 ORDER = 2
 FOLDS = 7
 HELD_OUT = 2
 HOT_WORDS = 100_000
 HOT_BYTES = 32
-#: Distinct entries that a task gathers before it passes them on.
+HOT_GRAMS = 500_000
+#: Distinct words, and bytes of text, that a task gathers before it passes them on.
 FLUSH = 400_000
+FLUSH_BYTES = 1 << 22
+#: Orders below this have tables of at most 2**16 grams, which are broadcast.
+SMALL_ORDERS = 2
 #: The end of a text as a word; words have no space.
 END = b" "
 
 SCHEMA = (
-    "n_tokens long, hot_known long, hot_score double, score double, rare array<struct<word:binary,n:long>>"
+    "n_tokens long, hot_known long, hot_score double, score double, rare array<struct<word:binary,n:long>>, "
+    "grams array<long>, times array<long>"
 )
 
 
@@ -48,22 +59,28 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % FOLDS == HELD_OUT
 
 
-def trigrams(text: bytes) -> np.ndarray:
-    """Each byte of the text and its end, below the two bytes before it."""
-    x = np.frombuffer(b"\0\0" + text + b"\0", np.uint8).astype(np.uint32)
-    return x[:-2] << 16 | x[1:-1] << 8 | x[2:]
+def grams_of(text: bytes, order: int) -> np.ndarray:
+    """Each byte of the text and its end, below the `order` bytes before it."""
+    x = np.frombuffer(b"\0" * order + text + b"\0", np.uint8)
+    n = len(x) - order
+    out = np.zeros(n, np.int64)
+    for k in range(order + 1):
+        out = out << 8 | x[k : k + n]
+    return out
 
 
-def gathered(docs: DataFrame) -> DataFrame:
-    """(word, gram, n): counts of words (gram null) and of byte trigrams (word null)."""
+def gathered(docs: DataFrame, order: int) -> DataFrame:
+    """(word, gram, n): counts of words (gram null) and of byte grams (word null)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: Counter = Counter()
-        grams: Counter = Counter()
+        grams: list[np.ndarray] = []
+        held = 0
 
         def rows() -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"word": list(words), "gram": None, "n": list(words.values())})
-            yield pd.DataFrame({"word": None, "gram": list(grams), "n": list(grams.values())})
+            keys, n = np.unique(np.concatenate([np.zeros(0, np.int64), *grams]), return_counts=True)
+            yield pd.DataFrame({"word": None, "gram": keys, "n": n})
             words.clear()
             grams.clear()
 
@@ -72,64 +89,86 @@ def gathered(docs: DataFrame) -> DataFrame:
                 text = text or b""
                 words.update(space_words(text))
                 words[END] += 1
-                keys, n = np.unique(trigrams(text), return_counts=True)
-                grams.update(dict(zip(keys.tolist(), n.tolist())))
-                if len(words) + len(grams) > FLUSH:
+                grams.append(grams_of(text, order))
+                held += len(grams[-1])
+                if held > FLUSH_BYTES or len(words) > FLUSH:
                     yield from rows()
+                    held = 0
         yield from rows()
 
     counts = docs.select(F.col("text").cast("binary").alias("text")).mapInPandas(count, "word binary, gram long, n long")
     return counts.groupBy("word", "gram").agg(F.sum("n").alias("n"))
 
 
-def distribution(levels: list[np.ndarray]) -> np.ndarray:
-    """log10 probabilities of the 256 bytes from the counts of a context, the longest first."""
-    p, open_, rest = np.zeros(256), np.ones(256, bool), 1.0
-    for counts in levels:
-        seen = open_ & (counts > 0)
-        total, distinct = counts[seen].sum(), seen.sum()
-        if not distinct:
-            continue
-        all_seen = distinct == open_.sum()
-        whole = total + (0 if all_seen else distinct)
-        p[seen] = rest * counts[seen] / whole
-        rest *= 0.0 if all_seen else distinct / whole
-        open_ &= ~seen
-    if open_.any():
-        p[open_] = rest / open_.sum()
-    return np.log10(p)
-
-
-class ByteModel:
-    """Rows of log probabilities, and the row of every context of two bytes."""
-
-    def __init__(self, grams: np.ndarray, counts: np.ndarray):
-        zero = np.zeros(256)
-        order0 = np.bincount(grams & 255, counts, 256)
-        order1 = np.bincount(grams & 0xFFFF, counts, 1 << 16).reshape(256, 256)
-        order = np.argsort(grams)
-        grams, counts = grams[order], counts[order]
-        contexts, first = np.unique(grams >> 8, return_index=True)
-        rows = [distribution([order0 if grams.size else zero])]
-        single = np.zeros(256, np.int64)
-        for c in range(256):
-            if order1[c].any():
-                single[c] = len(rows)
-                rows.append(distribution([order1[c], order0]))
-        self.row = np.tile(single, 256)
-        for context, a, b in zip(contexts.tolist(), first, [*first[1:], len(grams)]):
-            own = np.zeros(256)
-            own[grams[a:b] & 255] = counts[a:b]
-            self.row[context] = len(rows)
-            rows.append(distribution([own, order1[context & 255], order0]))
-        self.rows = np.array(rows, np.float32)
-
-    def score(self, text: bytes) -> float:
-        keys = trigrams(text)
-        return float(self.rows[self.row[keys >> 8], keys & 255].sum(dtype=np.float64))
-
-
-def _scorer(model: ByteModel, hot: dict[bytes, float]):
+def suffixes(gram: Column, order: int) -> Column:
+    """The last bytes of a gram at every order k, as one number below a leading 1: (k, key)."""
+    return F.explode(
+        F.array(*(F.struct(F.lit(k).alias("k"), gram.bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).bitwiseOR(F.lit(1 << 8 * (k + 1))).alias("key")) for k in range(order + 1)))
+    )
+
+
+def context_of(key: Column) -> Column:
+    return F.shiftright(key, 8)
+
+
+def trie(grams: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
+    """Nodes (k, key, n) of all orders, and contexts (k, context, total, distinct, lower).
+
+    `lower` is the count that the context's symbols have in the next shorter context."""
+    every = grams.select(suffixes(F.col("gram"), order).alias("s"), "n")
+    nodes = written(every.groupBy("s.k", "s.key").agg(F.sum("n").alias("n")))
+    shorter = F.element_at(
+        F.array(*(F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).bitwiseOR(F.lit(1 << 8 * k)) for k in range(order + 1))), F.col("k") + 1
+    )
+    below = nodes.select((F.col("k") + 1).alias("k"), F.col("key").alias("shorter"), F.col("n").alias("n_below"))
+    linked = nodes.withColumn("shorter", shorter).join(below, ["k", "shorter"], "left")
+    contexts = linked.groupBy("k", context_of(F.col("key")).alias("context")).agg(
+        F.sum("n").alias("total"), F.count("*").alias("distinct"), F.coalesce(F.sum("n_below"), F.lit(0)).alias("lower")
+    )
+    return nodes, written(contexts)
+
+
+def seen_prices(nodes: DataFrame, contexts: DataFrame, order: int) -> DataFrame:
+    """(gram, n, price): log10 prices of the grams of the training texts."""
+    longest = nodes.filter(F.col("k") == order).withColumn("context", context_of(F.col("key")))
+    whole = F.col("total") + F.when(F.col("distinct") == 256, 0).otherwise(F.col("distinct"))
+    gram = F.col("key").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1))
+    return longest.join(contexts.filter(F.col("k") == order).drop("k"), "context").select(
+        gram.alias("gram"), "n", F.log10(F.col("n") / whole).alias("price")
+    )
+
+
+def unseen_prices(grams: DataFrame, nodes: DataFrame, contexts: DataFrame, order: int) -> DataFrame:
+    """(gram, price) of distinct grams that are not in the training texts."""
+    asked = grams.select("gram", suffixes(F.col("gram"), order).alias("s")).select("gram", "s.*")
+    asked = asked.withColumn("context", context_of(F.col("key")))
+
+    def looked_up(low: bool) -> DataFrame:
+        part = (F.col("k") < SMALL_ORDERS) if low else (F.col("k") >= SMALL_ORDERS)
+        sides = [nodes.filter(part), contexts.filter(part)]
+        by_node, by_context = (F.broadcast(s) for s in sides) if low else sides
+        return asked.filter(part).join(by_context, ["k", "context"], "left").join(by_node, ["k", "key"], "left")
+
+    found = looked_up(True).unionByName(looked_up(False))
+    per_order = lambda name, k: F.coalesce(F.max(F.when(F.col("k") == k, F.col(name))), F.lit(0)).alias(f"{name}{k}")
+    wide = found.groupBy("gram").agg(*(per_order(c, k) for c in ("n", "total", "distinct", "lower") for k in range(order + 1)))
+    zero = F.lit(0)
+    rest, price, excluded, taken = F.lit(1.0), F.lit(None).cast("double"), zero, zero
+    for k in range(order, -1, -1):
+        n, total, distinct = F.col(f"n{k}"), F.col(f"total{k}"), F.col(f"distinct{k}")
+        wide = wide.withColumns(
+            {
+                f"price{k}": F.coalesce(price, F.when(n > 0, rest * n / (total - taken + F.when(distinct == 256, 0).otherwise(distinct - excluded)))),
+                f"rest{k}": F.when(distinct == excluded, rest)
+                .when(distinct == 256, 0.0)
+                .otherwise(rest * (distinct - excluded) / (total - taken + distinct - excluded)),
+            }
+        )
+        price, rest, excluded, taken = F.col(f"price{k}"), F.col(f"rest{k}"), distinct, F.col(f"lower{k}")
+    return wide.select("gram", F.log10(F.coalesce(price, rest / (256 - excluded))).alias("price"))
+
+
+def _scorer(hot_grams: np.ndarray, prices: np.ndarray, hot: dict[bytes, float], order: int):
     def scan(texts: list[bytes | None]) -> Iterator[tuple]:
         for text in texts:
             text = text or b""
@@ -143,24 +182,32 @@ def _scorer(model: ByteModel, hot: dict[bytes, float]):
                 else:
                     known += n
                     score += n * value
-            yield words.total(), known, score, model.score(text), rare
+            keys, times = np.unique(grams_of(text, order), return_counts=True)
+            at = np.searchsorted(hot_grams, keys)
+            at[at == len(hot_grams)] = 0
+            hit = hot_grams[at] == keys if len(hot_grams) else np.zeros(len(keys), bool)
+            priced = float((prices[at[hit]] * times[hit]).sum())
+            yield words.total(), known, score, priced, rare, keys[~hit], times[~hit]
 
     return scan
 
 
-def scores(docs: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """A row per document: its tokens, how many are known, the unigram and the model's score."""
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    counts = written(gathered(rows.filter(~F.col("held_out"))))
+    counts = written(gathered(rows.filter(~F.col("held_out")), order))
     words = counts.filter("word is not null").select("word", "n")
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
     denominator = totals.tokens + totals.distinct + 1
-    grams = counts.filter("gram is not null").select("gram", "n").toArrow()  # 2**24 rows at most
-    model = ByteModel(grams["gram"].to_numpy(), grams["n"].to_numpy().astype(np.float64))
+    nodes, contexts = trie(counts.filter("gram is not null").select("gram", "n"), order)
+    seen = written(seen_prices(nodes, contexts, order))
+    common = seen.orderBy(F.desc("n"), "gram").limit(HOT_GRAMS).select("gram", "price").toArrow()
+    by_gram = np.argsort(common["gram"].to_numpy())
+    hot_grams, prices = common["gram"].to_numpy()[by_gram], common["price"].to_numpy()[by_gram]
     top = words.filter(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(HOT_WORDS).toPandas()
     hot = {bytes(w): math.log10((n + 1) / denominator) for w, n in zip(top["word"], top["n"])}
 
-    scan = struct_udf(_scorer(model, hot), SCHEMA)(F.col("text").cast("binary"))
+    scan = struct_udf(_scorer(hot_grams, prices, hot, order), SCHEMA)(F.col("text").cast("binary"))
     made = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", scan.alias("s"))
     made = written(made.select("row", "doc_id", "held_out", "s.*"))
     rare = made.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
@@ -168,10 +215,14 @@ def scores(docs: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
         F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / denominator)).alias("rare_score"),
     )
-    return made.drop("rare").join(priced, "row", "left").select(
+    cold = made.select("row", F.explode(F.arrays_zip("grams", "times")).alias("r")).select("row", F.col("r.grams").alias("gram"), "r.times")
+    unseen = written(cold.select("gram").distinct().join(seen, "gram", "left_anti"))
+    every = seen.select("gram", "price").unionByName(unseen_prices(unseen, nodes, contexts, order))
+    cold = cold.join(every, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("price")).alias("cold_score"))
+    return made.drop("rare", "grams", "times").join(priced, "row", "left").join(cold, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("hot_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(totals.tokens).cast("long").alias("train_tokens"),
         (F.col("hot_score") + F.coalesce("rare_score", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("cold_score", F.lit(0.0))).alias("score"),
     )

@@ -12,6 +12,8 @@ from casario.llm import credentials, decontamination, licenses, mixing, neardup,
 WEIGHTS = {"src0": 4, "src1": 2, "src2": 2}
 BLOCK_BYTES = 1 << 16
 SHARD_BYTES = 1 << 20
+#: Bytes of the longest context of the language model.
+PPM_ORDER = 5
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,7 +46,7 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ppm.scores(_read(spark, sf_dir, "documents"))
+    return ppm.scores(_read(spark, sf_dir, "documents"), PPM_ORDER)
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

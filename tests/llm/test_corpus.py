@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from casario.llm import decontamination, mixing, neardup, ppm, sharding, url_templates
+from casario.llm import queries as registered
 from casario.llm.common import alnum_words
 from llm.samples import awkward, clashing, edited, frame, words
 from pyspark.sql import functions as F
@@ -148,6 +149,46 @@ def test_ppm(spark, monkeypatch):
     assert ppm.scores(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("hot", [30, 10**6])
+def test_ppm_of_longer_contexts(spark, monkeypatch, hot):
+    """Order 5 against brute force, with few grams sent and with all of them."""
+    monkeypatch.setattr(ppm, "HOT_GRAMS", hot)
+    rows = [(k, words(k, 30, 50), "", "", 1) for k in range(500, 560)] + [(1, None, "", "", 1), (None, "\u00e9\x00\x00 a", "", "", 1)]
+    rows += [(2000 + k, bytes(range(1, 128)).decode() * 2 + "w1", "", "", 1) for k in range(9)]
+    order, contexts = 5, [defaultdict(Counter) for _ in range(6)]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    bytes_of = lambda t: b"\0" * order + (t or "").encode() + b"\0"
+    for doc_id, text, *_ in rows:
+        x = bytes_of(text)
+        for k in range(order, len(x)):
+            for o in range(order + 1):
+                contexts[o][x[k - o : k]][x[k]] += not held(doc_id)
+
+    def price(history, b):
+        out, rest = set(), 1.0
+        for o in range(order, -1, -1):
+            seen = {s: n for s, n in contexts[o].get(history[order - o :], {}).items() if n and s not in out}
+            if seen:
+                whole = sum(seen.values()) + (0 if len(seen) == 256 - len(out) else len(seen))
+                if b in seen:
+                    return rest * seen[b] / whole
+                rest *= len(seen) / whole
+                out |= set(seen)
+        return rest / (256 - len(out))
+
+    got = {r.doc_id: r for r in ppm.scores(frame(spark, rows), order).collect()}
+    assert len(got) == len(rows) and any(r.held_out for r in got.values())
+    for doc_id, text, *_ in rows:
+        x = bytes_of(text)
+        want = sum(math.log10(price(x[k - order : k], x[k])) for k in range(order, len(x)))
+        assert got[doc_id].score == pytest.approx(want, rel=1e-9)
+    assert ppm.scores(frame(spark, []), order).count() == 0
+
+
+def test_ppm_query_uses_long_contexts():
+    assert registered.PPM_ORDER >= 4
+
+
 def test_mixing(spark):
     weights = {"s0": 5, "s1": 2, "s2": 2}
     rows = awkward() + [(k, words(k, 40), "", f"s{k % 7}", 1) for k in range(2000, 2400)]
