@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from casario.llm import decontamination, mixing, neardup, quality, sharding
 from casario.llm.common import shared_folder
@@ -17,6 +18,8 @@ from casario.llm.common import shared_folder
 WEIGHTS = {"src0": 4, "src1": 2, "src2": 2}
 BLOCK_BYTES = 1 << 16
 SHARD_BYTES = 1 << 20
+#: A place in the mixed order is a file's number and, in this many bits, the row in the file.
+PLACE_BITS = 40
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +43,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the shard each goes to."""
-    return sharding.sharded(docs, SHARD_BYTES)
+    """All documents with the shard each goes to and their place in the mixed order (`mixed_at`);
+    a shard's rows are together and in that order.
+
+    The files of the stage before are ordered by slot, and so are the rows inside a file.
+    """
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("long")
+    placed = docs.withColumn("mixed_at", part * F.lit(1 << PLACE_BITS) + F.col("_metadata.row_index"))
+    return sharding.sharded(placed, SHARD_BYTES).repartition("shard").sortWithinPartitions("shard", "mixed_at")
 
 
 STAGES = [

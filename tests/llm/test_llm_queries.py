@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from casario.llm import decontamination, oracle, quality
+from casario.llm import decontamination, mixing, oracle, quality
 from casario.llm import queries as registered
 from casario.llm.common import alnum_words
 from compare import connect, differences
@@ -53,3 +53,31 @@ def test_pipeline(spark):
     assert all(n <= corpus_pipeline.SHARD_BYTES for n in shards.values())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "decontaminate", "mix_sources", "shard"]
     assert decontamination.WINDOW == 10
+
+
+def test_mixing_reaches_the_rows_of_the_pipeline(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(corpus_pipeline, "SHARD_BYTES", 20_000)
+    got = corpus_pipeline.run(spark, SF).collect()
+    own = spark.createDataFrame([(r.doc_id, r.text, r.source) for r in got], "doc_id long, text string, source string")
+    placed = mixing.slots(own, corpus_pipeline.WEIGHTS, 3000).collect()
+    place = {(r.source, r.doc_id): (r.slot, r.start) for r in placed}
+    assert all(r.release <= r.slot < r.deadline for r in placed)
+    ordered = sorted(got, key=lambda r: r.mixed_at)
+    order = [place[(r.source or "", r.doc_id)] for r in ordered]
+    assert len({r.mixed_at for r in got}) == len(got) and order == sorted(order)
+    # While no source has run out, each is less than one block from its share.
+    share = {r.source: corpus_pipeline.WEIGHTS.get(r.source, 1) for r in placed}
+    last = {s: max(r.block for r in placed if r.source == s) for s in share}
+    block = {(r.source, r.doc_id): r.block for r in placed}
+    for r, (slot, _) in zip(ordered, order):
+        k = block[(r.source or "", r.doc_id)]
+        assert abs(k + 1 - (slot + 1) * share[r.source or ""] / sum(share.values())) < 1 or k > last[r.source or ""]
+    # A shard's rows are together and in the mixed order.
+    shards = {}
+    for at, r in enumerate(got):
+        shards.setdefault(r.shard, []).append((at, r.mixed_at))
+    assert len(shards) > 3
+    for rows in shards.values():
+        assert [at for at, _ in rows] == list(range(rows[0][0], rows[0][0] + len(rows)))
+        assert [m for _, m in rows] == sorted(m for _, m in rows)
