@@ -27,8 +27,10 @@ REPEAT_WORDS = 8
 REPEAT_PERCENT = 30
 #: Limits of the method: share of the word characters inside repeated substrings, and the
 #: longest repeat as a share of the words (only for repeats of MIN_LONGEST words or more).
-MAX_COVERED = 0.4
-MAX_LONGEST = 0.2
+#: Both are below what REPEAT_PERCENT implies, as repeats cover the words of the windows.
+#: At most 0.3 % of the documents labelled good at sf0.1 are above them.
+MAX_COVERED = 0.2
+MAX_LONGEST = 0.1
 MIN_LONGEST = 25
 #: Words that are doubled together; bounds memory, not results.
 CHUNK_WORDS = 400_000

@@ -205,3 +205,16 @@ def test_quality_keeps_clean_and_drops_repetitive(spark):
     clean, passage = words(1, 200, 5000), words(2, 60, 5000)
     rows = [(1, clean, "", "", 1), (2, f"{passage} {words(3, 100, 5000)} {passage}", "", "", 1), (3, edited(clean, 1, 9), "", "", 1)]
     assert {r.doc_id for r in quality.keep_good(frame(spark, rows)).collect()} == {1, 3}
+
+
+def test_quality_method_decides_where_the_base_rule_does_not(spark):
+    passage, longer, short = words(2, 24, 5000), words(4, 30, 5000), words(6, 10, 5000)
+    rows = [
+        (1, f"{passage} {words(3, 152, 5000)} {passage}", "", "", 1),  # 24 % of the words repeat
+        (2, f"{longer} {words(5, 204, 5000)} {longer}", "", "", 1),  # a repeat of 30 of 264 words
+        (3, f"{short} {words(7, 180, 5000)} {short}", "", "", 1),  # 10 % repeat, in short repeats
+    ]
+    got = {r.doc_id: r for r in quality.quality_report(frame(spark, rows)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {k: r.kept for k, r in got.items()} == {1: False, 2: False, 3: True}
+    assert {r.doc_id for r in quality.keep_good(frame(spark, rows)).collect()} == {3}
