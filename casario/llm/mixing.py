@@ -8,9 +8,9 @@ less than one block ahead of or behind its share, at every slot.
 
 Sources of equal weight form one task and take turns inside it, which keeps the bound and
 keeps the number of tasks at the number of distinct weights, whatever the number of sources.
-The schedule repeats after W slots; one period is made by a fold over its slots, and every
-block's slot follows from it by arithmetic.  Weights whose sum exceeds `RESOLUTION` are
-rounded to that many parts.
+The schedule repeats after W slots (weights over their greatest common divisor); one period is
+made by a fold over its slots, and every block's slot follows from it by arithmetic.  Shares are
+exact at every sum of weights; the fold's time grows with W, in one task.
 
 A source that runs out leaves its slots empty; the others keep their proportions.  No row is
 dropped.  Null and empty source are one source; a null text has no bytes; rows of the same
@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from casario.llm.common import packed, unpacked
 
-#: Largest period of the schedule, in slots.
-RESOLUTION = 4096
+#: Slots that the fold gathers together; bounds copying, not results.
+CHUNK_SLOTS = 1024
+#: Steps of Euclid's algorithm that any two 64-bit numbers need at most.
+EUCLID_STEPS = 92
 #: Hex digits of the id's digest that part a source for its running sums.
 SALT_DIGITS = 3
 
@@ -38,16 +40,34 @@ def weight_of(source: Column, weights: dict[str, int], default: int) -> Column:
     return out
 
 
+def bound(value: Column, body) -> Column:
+    """`body` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def common_divisor(numbers: Column) -> Column:
+    """The greatest common divisor of an array of longs."""
+
+    def both(a: Column, b: Column) -> Column:
+        start = F.struct(a.alias("a"), b.alias("b"))
+        step = lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), (s["a"] % s["b"]).alias("b")))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(EUCLID_STEPS)), start, step)["a"]
+
+    return F.aggregate(numbers, F.lit(0).cast("long"), both)
+
+
 def schedule(tasks: DataFrame) -> DataFrame:
     """One period of the earliest-deadline-first schedule: (weight, turn, at, parts, period).
 
-    `tasks` has a row per task: (weight, parts), shares being parts over their sum.  `at` is
-    the slot of the task's block `turn`.
+    `tasks` has a row per task: (weight, parts), shares being parts over their sum; the parts
+    returned are in lowest terms.  `at` is the slot of the task's block `turn`.
     """
-    listed = tasks.agg(
-        F.array_sort(F.collect_list(F.struct("weight", F.col("parts").cast("long").alias("parts")))).alias("tasks"),
-        F.sum("parts").cast("long").alias("period"),
-    ).filter(F.col("period") > 0)
+    task = F.struct("weight", F.col("parts").cast("long").alias("parts"))
+    listed = tasks.agg(F.array_sort(F.collect_list(task)).alias("tasks")).filter(F.size("tasks") > 0)
+    listed = listed.withColumn("divisor", common_divisor(F.col("tasks.parts")))
+    lowest = F.transform("tasks", lambda t: F.struct(t["weight"].alias("weight"), F.floor(t["parts"] / F.col("divisor")).alias("parts")))
+    listed = listed.select(lowest.alias("tasks"))
+    listed = listed.withColumn("period", F.aggregate("tasks", F.lit(0).cast("long"), lambda sum_, t: sum_ + t["parts"]))
 
     def next_slot(state: Column, slot: Column) -> Column:
         def bid(task: Column, k: Column) -> Column:
@@ -56,14 +76,26 @@ def schedule(tasks: DataFrame) -> DataFrame:
             deadline = F.ceil((n + 1) * F.col("period") / task["parts"])
             return F.when(release <= slot, F.struct(deadline.alias("deadline"), k.alias("task")))
 
-        chosen = F.array_min(F.array_compact(F.transform("tasks", bid)))["task"]
-        done = F.transform(state["done"], lambda n, k: F.when(k == chosen, n + 1).otherwise(n))
-        return F.struct(done.alias("done"), F.concat(state["picks"], F.array(chosen)).alias("picks"))
+        def picked(chosen: Column) -> Column:
+            done = F.transform(state["done"], lambda n, k: F.when(k == chosen, n + 1).otherwise(n))
+            return F.struct(done.alias("done"), F.concat(state["picks"], F.array(chosen)).alias("picks"))
+
+        return bound(F.array_min(F.array_compact(F.transform("tasks", bid)))["task"], picked)
+
+    def next_chunk(state: Column, chunk: Column) -> Column:
+        first = chunk * CHUNK_SLOTS
+        start = F.struct(state["done"].alias("done"), F.array().cast("array<int>").alias("picks"))
+        last = F.least(first + CHUNK_SLOTS, F.col("period")) - 1
+        return bound(
+            F.aggregate(F.sequence(first, last), start, next_slot),
+            lambda s: F.struct(s["done"].alias("done"), F.concat(state["chunks"], F.array(s["picks"])).alias("chunks")),
+        )
 
     start = F.struct(
-        F.transform("tasks", lambda _: F.lit(0).cast("long")).alias("done"), F.array().cast("array<int>").alias("picks")
+        F.transform("tasks", lambda _: F.lit(0).cast("long")).alias("done"), F.array().cast("array<array<int>>").alias("chunks")
     )
-    picks = F.aggregate(F.sequence(F.lit(0), (F.col("period") - 1).cast("int")), start, next_slot)["picks"]
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("period") - 1) / CHUNK_SLOTS))
+    picks = F.flatten(F.aggregate(chunks, start, next_chunk)["chunks"])
     slots = listed.select("tasks", "period", F.posexplode(picks).alias("at", "pick"))
     turn = F.row_number().over(Window.partitionBy("pick").orderBy("at")) - 1
     task = F.element_at("tasks", F.col("pick") + 1)
@@ -96,9 +128,7 @@ def slots(docs: DataFrame, weights: dict[str, int], block_bytes: int, default: i
     members = sources.withColumn("member", turn)
     tasks = sources.groupBy("weight").agg(F.count("*").alias("n_members"))
     share = F.col("weight") * F.col("n_members")
-    total = tasks.agg(F.sum(share)).scalar()
-    fitted = F.when(total <= RESOLUTION, share).otherwise(F.greatest(F.lit(1), F.round(share * RESOLUTION / total)).cast("long"))
-    period = schedule(tasks.select("weight", fitted.alias("parts")))
+    period = schedule(tasks.select("weight", share.alias("parts")))
     before = F.sum("n_bytes").over(Window.partitionBy("source", "salt").orderBy("digest", "doc_id")) - F.col("n_bytes")
     placed = (
         rows.withColumn("before", before)
@@ -108,10 +138,10 @@ def slots(docs: DataFrame, weights: dict[str, int], block_bytes: int, default: i
         .join(members.join(tasks, "weight"), "source")
         .withColumn("n", F.col("block") * F.col("n_members") + F.col("member"))
     )
-    # One row per slot of a period: RESOLUTION rows, or a few more by rounding up.
+    # A row per distinct weight is broadcast; the period has a row per slot, and Spark sizes it up.
     per_task = F.broadcast(period.select("weight", "parts", "period").distinct())
     placed = placed.join(per_task, "weight").withColumn("turn", F.col("n") % F.col("parts"))
-    placed = placed.join(F.broadcast(period.select("weight", "turn", "at")), ["weight", "turn"])
+    placed = placed.join(period.select("weight", "turn", "at"), ["weight", "turn"])
     rounds = F.floor(F.col("n") / F.col("parts"))
     return placed.select(
         "source", "doc_id", "n_bytes", "start", "block",

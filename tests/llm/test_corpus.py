@@ -222,6 +222,25 @@ def test_mixing(spark):
     assert mixing.slots(frame(spark, []), weights, 10).count() == mixing.mixed(frame(spark, []), weights, 10).count() == 0
 
 
+@pytest.mark.parametrize("n_sources, heavy", [(5000, 4), (10, 20_011)])
+def test_mixing_is_exact_at_any_sum_of_weights(spark, n_sources, heavy):
+    rows = [(k, "x" * 10, "", f"s{k}", 1) for k in range(1, n_sources)] + [(n_sources + k, "x" * 10, "", "s0", 1) for k in range(40)]
+    placed = mixing.slots(frame(spark, rows), {"s0": heavy}, 10).collect()
+    parts = {"s0": heavy, "other": n_sources - 1}
+    whole, done, at, ties = sum(parts.values()), Counter(), {}, {"other": 0, "s0": 1}
+    for slot in range(whole):
+        ready = [(-(-(done[k] + 1) * whole // n), ties[k], k) for k, n in parts.items() if done[k] * whole // n <= slot]
+        k = min(ready)[2]
+        at[k, done[k]] = slot
+        done[k] += 1
+    member = {s: k for k, s in enumerate(sorted(f"s{k}" for k in range(1, n_sources)))}
+    assert len(placed) == len(rows)
+    for r in placed:
+        k, n = ("s0", r.block) if r.source == "s0" else ("other", r.block * len(member) + member[r.source])
+        assert r.slot == n // parts[k] * whole + at[k, n % parts[k]]
+        assert (r.release, r.deadline) == (n * whole // parts[k], -(-(n + 1) * whole // parts[k]))
+
+
 def test_sharding(spark):
     rows = awkward() + [(k, words(k, 40), "", "s", 1) for k in range(2000, 2400)]
     docs = clashing(frame(spark, rows))
