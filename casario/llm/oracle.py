@@ -1,7 +1,8 @@
 """DuckDB SQL with the results of the queries that SQL can express.
 
-The other five (personal data, secrets, language-model scores, licences, quality rules) end
-in a trained model, a sweep, a parser or a suffix array; brute force checks them in tests.
+The other six (personal data, secrets, language-model scores, licences, quality rules, toxicity)
+end in a trained model, a sweep, a parser or a suffix array; brute force or held-out documents
+check them in tests.
 """
 
 from __future__ import annotations
@@ -180,6 +181,120 @@ FROM d JOIN depths USING (bits) JOIN nodes USING (depth) WHERE prefix = substr(b
 """
 
 
+# The crc32 of a text, given the list of its bytes and the table of the checksum.
+CRC_TABLE = """
+crc_table AS (
+    SELECT list_transform(range(0, 256), lambda i:
+        list_reduce(range(0, 8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), i)) AS t
+)"""
+CRC = "xor(list_reduce({bytes}, lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295)"
+BYTES = "list_transform(range(0, strlen({text})), lambda k: ('0x' || substr(hex(encode({text})), 2 * k + 1, 2))::BIGINT)"
+
+
+def _crc(text: str) -> str:
+    return CRC.format(bytes=BYTES.format(text=text))
+
+
+_FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+OP11 = f"""
+WITH RECURSIVE {CRC_TABLE},
+leaves AS (
+    SELECT doc_id, coalesce('1' || lang, '0') AS grp, {_leaf("text")} AS leaf,
+        CASE WHEN {_crc("doc_id::VARCHAR")} % 3 = 0
+            THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS copy
+    FROM documents CROSS JOIN crc_table
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY grp) AS size FROM leaves
+),
+up AS (
+    SELECT grp, 0 AS level, place, size, leaf AS h FROM placed
+    UNION ALL
+    SELECT grp, level + 1, place // 8, (size + 7) // 8, sha256(string_agg(h, '' ORDER BY place)) FROM up WHERE size > 1 GROUP BY grp, level, place // 8, size
+),
+subroots AS (SELECT grp, h, row_number() OVER (ORDER BY grp) - 1 AS place, count(*) OVER () AS size FROM up WHERE size = 1),
+top AS (
+    SELECT 0 AS level, place, size, h FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 8, (size + 7) // 8, sha256(string_agg(h, '' ORDER BY place)) FROM top WHERE size > 1 GROUP BY level, place // 8, size
+),
+nodes AS (SELECT grp, level, place, size, h FROM up UNION ALL SELECT 'top', level, place, size, h FROM top),
+segments AS (
+    SELECT grp, level, place,
+        coalesce(string_agg(h, '') OVER (PARTITION BY grp, level, place // 8 ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+        coalesce(string_agg(h, '') OVER (PARTITION BY grp, level, place // 8 ORDER BY place ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+    FROM nodes WHERE size > 1
+),
+below AS (
+    SELECT p.grp, p.place, list(before || ':' || after ORDER BY level) AS path
+    FROM placed p JOIN segments s ON s.grp = p.grp AND s.place = p.place >> (3 * s.level)::BIGINT GROUP BY ALL
+),
+above AS (
+    SELECT r.grp, list(before || ':' || after ORDER BY level) AS path
+    FROM subroots r JOIN segments s ON s.grp = 'top' AND s.place = r.place >> (3 * s.level)::BIGINT GROUP BY ALL
+),
+whole AS (
+    SELECT p.*, r.h AS subroot, coalesce(b.path, []) || coalesce(a.path, []) AS path
+    FROM placed p JOIN subroots r USING (grp) LEFT JOIN below b ON b.grp = p.grp AND b.place = p.place LEFT JOIN above a ON a.grp = p.grp
+),
+folded AS (
+    SELECT *, list_reduce(path, lambda acc, s: sha256(split_part(s, ':', 1) || acc || split_part(s, ':', 2)), coalesce(copy, leaf)) AS folded_root,
+        (SELECT h FROM top WHERE size = 1) AS root FROM whole
+)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), ':', '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM folded
+"""
+
+OP12 = rf"""
+WITH RECURSIVE {{CRC_TABLE}},
+runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{{{6,}}}}')) AS run FROM documents
+),
+seen AS (
+    SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM runs GROUP BY ALL
+),
+hashed AS (SELECT run, n, {{CRC_RUN}} AS h FROM seen CROSS JOIN crc_table),
+counted AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+    FROM hashed GROUP BY ALL
+),
+words AS (SELECT word, n FROM counted WHERE length(word) >= 6 AND n >= 5),
+cut AS (
+    SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+shorter AS (SELECT DISTINCT c.word, c.n, w.word AS other, w.n AS other_n FROM cut c JOIN words w ON w.word = c.head || c.tail),
+near AS (
+    SELECT * FROM shorter
+    UNION ALL
+    SELECT other, other_n, word, n FROM shorter
+    UNION ALL
+    SELECT a.word, a.n, b.word, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+),
+best AS (
+    SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word
+),
+told AS (
+    SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+        CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+    FROM words w LEFT JOIN best b ON b.word = w.word
+),
+roots AS (
+    SELECT word, word AS place FROM told
+    UNION ALL
+    SELECT r.word, t.form FROM roots r JOIN told t ON t.word = r.place WHERE t.form IS NOT NULL
+)
+SELECT t.word, t.form, r.place AS root, t.n, t.n_near, t.form_n::BIGINT AS form_n
+FROM told t JOIN roots r ON r.word = t.word JOIN told e ON e.word = r.place WHERE e.form IS NULL
+""".format(CRC_TABLE=CRC_TABLE, CRC_RUN=_crc("(id || ':' || run)"))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": OP2,
@@ -187,4 +302,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_duplicates": OP5,
         "op6_url_filter": _op6(),
         "op8_sharding": OP8,
+        "op11_merkle_manifest": OP11,
+        "op12_spelling_variants": OP12,
     }

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casario.llm import credentials, decontamination, licenses, mixing, neardup, pii, ppm, quality, sharding, url_templates
+from casario.llm import (
+    credentials, decontamination, licenses, manifest, mixing, neardup, pii, ppm, quality, sharding, spelling, toxicity, url_templates,
+)
 
 #: Target weights; sources that are not named have weight 1.
 WEIGHTS = {"src0": 4, "src1": 2, "src2": 2}
@@ -61,6 +63,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_read(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.checked(_read(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_read(spark, sf_dir, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -73,4 +87,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_licenses": op9_licenses,
         "op10_quality": op10_quality,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_toxicity": op13_toxicity,
     }

@@ -20,7 +20,7 @@ def test_parity(spark, name):
     assert not differences(spark, connect(SF), name, registered.queries()[name], ORACLE[name], SF)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(set(registered.queries()) - {"op12_spelling_variants"}))
 def test_a_row_for_each_row(spark, name):
     table = "pages" if name == "op6_url_filter" else "documents"
     assert registered.queries()[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
