@@ -20,8 +20,10 @@ UNKNOWN_ORIGIN = "Origem Desconhecida"
 # White space as scraped pages have it, the no-break space included.
 BLANKS = " \t\n\r\x0b\x0c\u00a0"
 
-# The standard's named characters, for those written with a semicolon and those without.
+# The standard's named characters, for those written with a semicolon and those without, and a
+# pattern of the longest of the latter that a text begins with.
 ENTITIES = json.dumps(html5)
+_BARE = "|".join(sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True))
 
 
 def _drop(text: Column, *parts: str) -> Column:
@@ -70,27 +72,35 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def decode_entities(text: Column) -> Column:
-    """Text with its character references, named and numeric, replaced by the characters."""
+def decode_entities(text: Column, attribute: bool = False) -> Column:
+    """Text with its character references, named and numeric, replaced by the characters.
+
+    A name without a semicolon counts as far as it is one of the standard's, so `&copyright` is
+    ©right; in an attribute only if neither a letter, a digit nor an equals sign follows.
+    """
     names = F.from_json(F.lit(ENTITIES), "map<string,string>")
+    bare = rf"^(?:{_BARE}){'(?![A-Za-z0-9=])' if attribute else ''}"
 
     def numeric(reference: Column) -> Column:
-        hexadecimal = F.conv(F.regexp_extract(reference, "^#[xX]([0-9A-Fa-f]+)", 1), 16, 10)
-        decimal = F.regexp_extract(reference, "^#([0-9]+)", 1)
-        code = F.when(decimal != "", decimal).otherwise(hexadecimal).cast("int")
+        # Without its leading zeros a code has 7 decimal or 6 hexadecimal digits at most.
+        hexadecimal = F.regexp_extract(reference, "^#[xX]0*([0-9A-Fa-f]{0,6});?$", 1)
+        decimal = F.regexp_extract(reference, "^#0*([0-9]{0,7});?$", 1)
+        code = F.when(decimal != "", decimal).otherwise(F.conv(F.nullif(hexadecimal, F.lit("")), 16, 10)).cast("int")
         sound = lambda n: (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
         character = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
         return bind(code, lambda n: F.when(sound(n), character(n)).otherwise("\ufffd"))
 
     def decoded(piece: Column) -> Column:
-        reference = F.regexp_extract(piece, r"^(#[0-9]{1,7};?|#[xX][0-9A-Fa-f]{1,6};?|[A-Za-z][A-Za-z0-9]*+;?)", 1)
+        number = F.regexp_extract(piece, "^#(?:[0-9]++|[xX][0-9A-Fa-f]++);?", 0)
+        whole = F.regexp_extract(piece, "^[A-Za-z][A-Za-z0-9]*+;", 0)
+        name = F.when(F.try_element_at(names, whole).isNotNull(), whole).otherwise(F.regexp_extract(piece, bare, 0))
 
-        def replaced(r: Column) -> Column:
-            found = F.when(r.startswith("#"), numeric(r)).when(r != "", F.try_element_at(names, r))
-            rest = F.substring(piece, F.length(r) + 1, F.length(piece))
+        def replaced(reference: Column) -> Column:
+            found = F.when(reference.startswith("#"), numeric(reference)).when(reference != "", F.try_element_at(names, reference))
+            rest = F.substring(piece, F.length(reference) + 1, F.length(piece))
             return F.coalesce(F.concat(found, rest), F.concat(F.lit("&"), piece))
 
-        return bind(reference, replaced)
+        return bind(F.when(piece.startswith("#"), number).otherwise(name), replaced)
 
     def joined(pieces: Column) -> Column:
         tail = F.transform(F.slice(pieces, 2, F.size(pieces)), decoded)

@@ -5,16 +5,16 @@ deep its kind is nested.  Comments and scripts are no markup.  Tag and attribute
 in either case; attribute values may be double-quoted, single-quoted or bare.  A paragraph
 ends where a block begins, a list item where the next one does.
 
-Most elements hold no other of their kind, and one pattern reads them all.  Where the number
-of opening tags shows that some do, or something is unclosed, the tags are walked with a
-stack instead.  Patterns use possessive loops, so long or broken pages cost linear time and
-no stack.
+Closed elements with up to `DEPTH` levels of their own kind inside are read by one pattern.  Where
+the number of opening tags shows that some are deeper, inside each other or unclosed, the tags are
+walked with a stack instead, with equal results.  Patterns use possessive loops, so long or broken
+pages cost linear time and no stack; the walk gathers texts in pieces, so it is linear too.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +39,11 @@ _IS_BLOCK = rf"^(?:{'|'.join(BLOCKS)})$"
 # Stands for something hidden between two text nodes, and for a place to split at.
 _CUT, _MARK = "\x01", "\x02"
 
+#: Levels of a kind inside itself that the pattern reads; bounds its length, not results.
+DEPTH = 3
+#: Tokens that are gathered together; bounds copying, not results.
+PIECE = 512
+
 
 @dataclass(frozen=True)
 class Element:
@@ -48,10 +53,32 @@ class Element:
     opening: str
 
     @property
-    def simple(self) -> str:
-        """Pattern of a closed element with none of its kind inside; group 1 is its content."""
-        ends = rf"/?(?i:{self.tag})\b" if self.tag != "p" else rf"/?(?i:{'|'.join(BLOCKS)})\b"
-        return rf"{self.opening}((?:[^<]++|<(?!{ends}))*+)</(?i:{self.tag})\s*+>"
+    def closed(self) -> str:
+        """Pattern of a closed element with up to DEPTH levels of its kind inside; group 1 is its content."""
+        return rf"{self.opening}({_content(self.tag, DEPTH)})</(?i:{self.tag})\s*+>"
+
+
+def _content(tag: str, depth: int) -> str:
+    """Pattern of what an element of this kind holds, with its kind inside `depth` times at most."""
+    if tag == "p":
+        return _without("|".join(BLOCKS))
+    if tag == "li":
+        # Items inside are those of lists inside.
+        inner = _without("li|ul|ol")
+        for _ in range(depth):
+            inner = _without("li|ul|ol", rf"<li\b{_REST}{inner}</li\s*+>")
+            inner = _without("li|ul|ol", rf"<(?:ul|ol)\b{_REST}{inner}</(?:ul|ol)\s*+>")
+        return inner
+    inner = _without(tag)
+    for _ in range(depth):
+        inner = _without(tag, rf"<(?i:{tag})\b{_REST}{inner}</(?i:{tag})\s*+>")
+    return inner
+
+
+def _without(tags: str, but: str | None = None) -> str:
+    """Pattern of markup without tags of these kinds, but for the elements `but`."""
+    more = f"|(?i:{but})" if but else ""
+    return rf"(?:[^<]++|<(?!/?(?i:{tags})\b){more})*+"
 
 
 def _before(name: str) -> str:
@@ -102,9 +129,9 @@ def card_list(html: Column, card: Element) -> Column:
 
 
 def _elements(shown: Column, card: Element) -> Column:
-    def found(simple: Column) -> Column:
+    def found(closed_ones: Column) -> Column:
         every = F.regexp_count(shown, F.lit(card.opening))
-        return F.when(F.size(simple) == every, simple).otherwise(by_count(shown))
+        return F.when(F.size(closed_ones) == every, closed_ones).otherwise(by_count(shown))
 
     def by_count(shown: Column) -> Column:
         marked = F.split(F.regexp_replace(shown, f"({card.opening})", f"{_MARK}$1"), _MARK)
@@ -115,7 +142,7 @@ def _elements(shown: Column, card: Element) -> Column:
         rest = F.array_join(F.slice(pieces, k + 1, F.size(pieces)), "")
         return F.coalesce(_to_end(piece, card.tag), bind(rest, lambda text: F.coalesce(_to_end(text, card.tag), text)))
 
-    return bind(F.regexp_extract_all(shown, F.lit(card.simple), F.lit(0)), found)
+    return bind(F.regexp_extract_all(shown, F.lit(card.closed), F.lit(0)), found)
 
 
 def _to_end(html: Column, tag: str) -> Column:
@@ -168,70 +195,83 @@ def texts(html: Column, pattern: Element, within: Element | None = None) -> Colu
 
     `within` narrows the search to what the elements that match it contain.
     """
-    def count(shown: Column, kind: Element) -> Column:
-        return F.regexp_count(shown, F.lit(kind.opening))
-
-    def of_shown(shown: Column) -> Column:
-        walked = _walk(shown, pattern, within)
-        quick = lambda contents: F.flatten(F.transform(contents, _direct_text))
-        if within is None:
-            return bind(
-                _contents(shown, pattern),
-                lambda contents: F.when(F.size(contents) == count(shown, pattern), quick(contents)).otherwise(walked),
-            )
-
-        def of_blocks(blocks: Column) -> Column:
-            total = lambda kind: F.aggregate(blocks, F.lit(0), lambda n, block: n + count(block, kind))
-            contents = F.flatten(F.transform(blocks, lambda block: _contents(block, pattern)))
-            # Blocks inside each other would give their texts twice.
-            simple = lambda texts: (F.size(texts) == total(pattern)) & (total(within) == 0)
-            return bind(contents, lambda texts: F.when(simple(texts), quick(texts)).otherwise(walked))
-
-        blocks = F.transform(_elements(shown, within), lambda block: F.regexp_replace(block, f"^{within.opening}", ""))
-        return bind(blocks, of_blocks)
+    return bind(visible(html), lambda shown: shown_texts(shown, pattern, within))
+
 
+def shown_texts(shown: Column, pattern: Element, within: Element | None = None) -> Column:
+    """The same for markup without comments and scripts, as that of cards is."""
+
+    def count(html: Column, kind: Element) -> Column:
+        return F.regexp_count(html, F.lit(kind.opening))
+
+    def quick(contents: Column) -> Column:
+        # Most elements hold one text and nothing else.
+        plain = F.forall(contents, lambda content: ~content.contains("<"))
+        return F.when(plain, contents).otherwise(F.flatten(F.transform(contents, _direct_text)))
+
+    def of_contents(contents: Column, opened: Column) -> Column:
+        return F.when(F.size(contents) == opened, quick(contents)).otherwise(_walk(shown, pattern, within))
+
+    def of_blocks(blocks: Column) -> Column:
+        inside = lambda kind: F.aggregate(blocks, F.lit(0), lambda n, block: n + count(block, kind))
+        contents = F.flatten(F.transform(blocks, lambda block: _contents(block, pattern)))
+        # Blocks inside each other would give their texts twice.
+        every = (F.size(blocks) == count(shown, within)) & (inside(within) == 0)
+        return bind(contents, lambda found: of_contents(found, F.when(every, inside(pattern)).otherwise(-1)))
+
+    if within is None:
+        nodes = bind(_contents(shown, pattern), lambda contents: of_contents(contents, count(shown, pattern)))
+    else:
+        nodes = bind(_contents(shown, within), of_blocks)
     pieces = lambda node: F.when(node.contains(_CUT), F.split(node, _CUT)).otherwise(F.array(node))
-    nodes = F.flatten(F.transform(bind(visible(html), of_shown), pieces))
-    return F.transform(F.filter(nodes, lambda node: node != ""), decode_entities)
+    whole = lambda found: F.when(shown.contains(_CUT), F.flatten(F.transform(found, pieces))).otherwise(found)
+    kept = F.filter(bind(nodes, whole), lambda node: node != "")
+    return bind(kept, lambda found: F.when(shown.contains("&"), F.transform(found, lambda node: decode_entities(node))).otherwise(found))
 
 
 def _contents(html: Column, pattern: Element) -> Column:
-    return F.regexp_extract_all(html, F.lit(pattern.simple), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(pattern.closed), F.lit(1))
 
 
-def _direct_text(content: Column) -> Column:
-    """Text nodes of an element; most elements hold plain text, which needs no counting."""
+def _gathered(tokens: Column, memory: Column, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """The tokens for which a fold says so, in order.
 
-    def step(state: Column, token: Column) -> Column:
-        change = F.when(token.rlike(_OPENS), 1).when(token.startswith("</"), -1)
-        return (
-            F.when(change.isNotNull(), F.struct(F.greatest(state["depth"] + change, F.lit(0)).alias("depth"), state["texts"].alias("texts")))
-            .when((state["depth"] > 0) | token.startswith("<") & token.rlike("^<[A-Za-z!?]"), state)
-            .otherwise(F.struct(state["depth"].alias("depth"), F.concat(state["texts"], F.array(token)).alias("texts")))
-        )
+    `step` gives the memory after a token, and whether the token is kept.  Kept ones are gathered
+    in pieces of `PIECE` tokens, as appending to one long array would copy it each time.
+    """
+
+    def one(state: Column, token: Column) -> Column:
+        after, kept = step(state["memory"], token)
+        return F.struct(after.alias("memory"), F.when(kept, F.concat(state["kept"], F.array(token))).otherwise(state["kept"]).alias("kept"))
+
+    def piece(state: Column, first: Column) -> Column:
+        start = F.struct(state["memory"].alias("memory"), F.array().cast("array<string>").alias("kept"))
+        walked = F.aggregate(F.slice(tokens, first, F.lit(PIECE)), start, one)
+        return bind(walked, lambda w: F.struct(w["memory"].alias("memory"), F.concat(state["pieces"], F.array(w["kept"])).alias("pieces")))
 
-    tokens = F.regexp_extract_all(content, F.lit(_TOKEN), F.lit(0))
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("texts"))
-    counted = F.aggregate(tokens, start, step, lambda state: state["texts"])
-    return F.when(content.contains("<"), counted).otherwise(F.array(content))
+    start = F.struct(memory.alias("memory"), F.array().cast("array<array<string>>").alias("pieces"))
+    firsts = F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1)), F.lit(PIECE))
+    return F.flatten(F.aggregate(firsts, start, piece)["pieces"])
 
 
-def _walk(html: Column, pattern: Element, within: Element | None) -> Column:
+def _direct_text(content: Column) -> Column:
+    """Text nodes of an element; one that holds no tag is one text."""
+    return F.when(content.contains("<"), _walk(content, start=":11")).otherwise(F.array(content))
+
+
+def _walk(html: Column, pattern: Element | None = None, within: Element | None = None, start: str = ":01") -> Column:
     """Text nodes directly under the elements that match, inside of `within`, by walking all tags.
 
     The stack of open elements is a text of entries like `/div:01`: the name, whether the
     element matches, and whether what it contains is inside of `within`.
     """
 
-    def step(state: Column, token: Column) -> Column:
+    def step(stack: Column, token: Column) -> tuple[Column, Column]:
         name = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s>/]*+)", 1))
-        at_text = F.substring(state["stack"], -2, 1) == "1"
-        text = F.when(at_text, F.concat(state["texts"], F.array(token))).otherwise(state["texts"])
-        moved = bind(name, lambda n: bind(kept(state["stack"], token, n), lambda left: pushed(left, token, n)))
-        return F.struct(
-            F.when(token.rlike("^</?[A-Za-z]"), moved).otherwise(state["stack"]).alias("stack"),
-            F.when(token.rlike("^<[A-Za-z/!?]"), state["texts"]).otherwise(text).alias("texts"),
-        )
+        moved = bind(name, lambda n: bind(kept(stack, token, n), lambda left: pushed(left, token, n)))
+        after = F.when(token.startswith("<") & token.rlike("^</?[A-Za-z]"), moved).otherwise(stack)
+        is_text = ~(token.startswith("<") & token.rlike("^<[A-Za-z/!?]"))
+        return after, is_text & (F.substring(stack, -2, 1) == "1")
 
     def kept(stack: Column, token: Column, name: Column) -> Column:
         """The stack without the elements that this tag ends."""
@@ -249,14 +289,12 @@ def _walk(html: Column, pattern: Element, within: Element | None) -> Column:
         bit = lambda test: F.when(test, "1").otherwise("0")
         inside = stack.endswith("1")
         inner = inside | token.rlike(f"^{within.opening}") if within else F.lit(True)
-        entry = F.concat(F.lit("/"), name, F.lit(":"), bit(inside & token.rlike(f"^{pattern.opening}")), bit(inner))
+        matches = inside & token.rlike(f"^{pattern.opening}") if pattern else F.lit(False)
+        entry = F.concat(F.lit("/"), name, F.lit(":"), bit(matches), bit(inner))
         return F.when(token.rlike(_OPENS), F.concat(stack, entry)).otherwise(stack)
 
-    start = F.struct(
-        F.lit(":00" if within else ":01").alias("stack"), F.array().cast("array<string>").alias("texts")
-    )
     tokens = F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0))
-    return F.aggregate(tokens, start, step, lambda state: state["texts"])
+    return bind(tokens, lambda found: _gathered(found, F.lit(":00" if within else start), step))
 
 
 def at(values: Column, index: int) -> Column:
@@ -272,7 +310,7 @@ def attributes(html: Column, tag: str, name: str) -> Column:
 def _values(html: Column, tag: str, name: str) -> Column:
     pattern = rf"""<(?i:{tag})(?=[\s/]){_before(name)}("[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
     values = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
-    return F.transform(values, lambda value: decode_entities(F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")))
+    return F.transform(values, lambda value: decode_entities(F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2"), attribute=True))
 
 
 def resolve(base: Column, link: Column) -> Column:

@@ -19,7 +19,7 @@ from casario.operators.pages import (
     link_to_next,
     on_hosts,
     resolve,
-    texts,
+    shown_texts,
 )
 from casario.schema import FEED
 
@@ -38,7 +38,7 @@ class Texts:
     within: Element | None = None
 
     def read(self, card: Column) -> Column:
-        return texts(card, self.pattern, self.within)
+        return shown_texts(card, self.pattern, self.within)
 
 
 @dataclass(frozen=True)

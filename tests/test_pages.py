@@ -193,3 +193,62 @@ def test_addresses(spark):
     assert extraction.allowed(seeds).count() == 9
     other = spark.createDataFrame([("https://evilzapimoveis.com.br/",), ("no url",)], "url string")
     assert extraction.allowed(other).count() == 0
+
+
+def nested(kind, depth, inner):
+    return f"<{kind}>" * depth + inner + f"</{kind}>" * depth
+
+
+@pytest.mark.parametrize("depth", range(6))
+def test_pattern_and_walk_agree_at_any_depth(spark, depth):
+    inner = nested("div", depth, "<p>in</p>") + "<p>own</p>" + nested("div", 1, "<p>more</p>")
+    html = f'<div class="k">{inner}</div><p>out</p><div class="k"><p>two</p></div>'
+    k, p = P.element("div", ["k"]), P.element("p")
+    assert text_list(spark, html, p, k) == ["in", "own", "more", "two"]
+    assert card_texts(spark, html, k) == [f'<div class="k">{inner}</div>', '<div class="k"><p>two</p></div>']
+    lists = "<ul><li>" * depth + "x" + "</li></ul>" * depth
+    assert card_texts(spark, f'<ul><li class="k">a{lists}b</li><li class="k">c</ul>', P.element("li", ["k"])) == [
+        f'<li class="k">a{lists}b</li>', '<li class="k">c',
+    ]
+    # Both ways of reading give the same texts, whatever is unclosed inside.
+    for broken in ("<b>x</i>y", "<p>x<p>y", "a<br>b<b>c</b>d<li>e<li>f</li>g", "<i>x<div>y</div>z"):
+        page = f'<div class="k">{nested("div", depth, broken)}{broken}</div>'
+        frame = spark.createDataFrame([(page,)], "h string")
+        shown = frame.select(P.shown_texts(F.col("h"), k).alias("t"), P._walk(F.col("h"), k).alias("w")).first()
+        assert shown.t == shown.w
+
+
+def test_many_text_nodes_cost_linear_time(spark):
+    import time
+
+    def seconds(n):
+        # Unclosed, so that all tags are walked.
+        html = '<div class="k">' + "<p>x<br>y</p>" * n
+        start = time.perf_counter()
+        assert text_list(spark, html, P.element("p"), P.element("div", ["k"])) == ["x", "y"] * n
+        return time.perf_counter() - start
+
+    seconds(100)
+    small, large = min(seconds(2_500) for _ in range(2)), seconds(25_000)
+    assert large < 20 * small + 2
+
+
+@pytest.mark.parametrize(
+    "text, as_text, as_attribute",
+    [
+        ("&#00000233;t&#x00000000E9;", "été", "été"),
+        ("&#233a &#xE9g", "éa ég", "éa ég"),
+        ("&copyright &notit; &notin; &ampx", "©right ¬it; ∉ &x", "&copyright &notit; ∉ &ampx"),
+        ("?a=1&copy=2&lt", "?a=1©=2<", "?a=1&copy=2<"),
+        ("&#; &#x; &#xg; & &; &1", "&#; &#x; &#xg; & &; &1", "&#; &#x; &#xg; & &; &1"),
+        ("&#99999999999999999999; &#x110000; &#xD800;", "� � �", "� � �"),
+        ("&#0000000000000000000000065;&#0;", "A�", "A�"),
+        ("&frac12&frac123&CounterClockwiseContourIntegral;", "½½3∳", "½&frac123∳"),
+    ],
+)
+def test_character_references(spark, text, as_text, as_attribute):
+    from casario.functions import decode_entities
+
+    frame = spark.createDataFrame([(text,)], "t string")
+    got = frame.select(decode_entities(F.col("t")).alias("a"), decode_entities(F.col("t"), attribute=True).alias("b")).first()
+    assert tuple(got) == (as_text, as_attribute)
