@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
@@ -47,8 +48,8 @@ BLUR = 199
 #: Bits of a filter per word, and bits that a word sets in its block.
 BITS_PER_WORD = 24
 BITS_SET = 5
-#: Words in one filter, and in all filters that are broadcast together (72 MB).
-SHARD_WORDS = 1 << 19
+#: Words in one filter, which a task builds, and in all filters that are broadcast together (72 MB).
+SHARD_WORDS = 1 << 12
 PASS_WORDS = 24 << 20
 #: Words that a task probes, at a guess.
 TASK_WORDS = 50_000
@@ -143,29 +144,41 @@ def _bits(h: np.ndarray) -> np.ndarray:
     return mask
 
 
-def _block(h: np.ndarray, blocks: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
+def _block(h: np.ndarray, blocks: np.ndarray | np.uint64) -> np.ndarray:
+    return ((h >> np.uint64(32)) * blocks) >> np.uint64(32)
 
 
 def bloom(h: np.ndarray) -> np.ndarray:
     """The blocked filter of some keys."""
     out = np.zeros(max(1, -(-len(h) * BITS_PER_WORD // 64)), np.uint64)
-    np.bitwise_or.at(out, _block(h, len(out)), _bits(h))
+    np.bitwise_or.at(out, _block(h, np.uint64(len(out))), _bits(h))
     return out
 
 
-def held(filters: dict[int, np.ndarray], shards: int, h: np.ndarray) -> np.ndarray:
-    """Which keys may be in the filters at hand, out of `shards` of their length."""
-    out = np.zeros(len(h), bool)
-    shard = shard_of(h, shards) if shards > 1 else np.zeros(len(h), np.int64)
-    for number, blocks in filters.items():
-        here = np.flatnonzero(shard == number)
-        bits = _bits(h[here])
-        out[here] = blocks[_block(h[here], len(blocks))] & bits == bits
-    return out
+@dataclass
+class Filters:
+    """The filters of one word length, put together: where each shard's begins and how many blocks it has."""
+
+    starts: np.ndarray
+    sizes: np.ndarray
+    blocks: np.ndarray
+
+    @classmethod
+    def of(cls, shards: int, parts: dict[int, bytes]) -> Filters:
+        """Those of the shards at hand; the others hold nothing."""
+        sizes = np.array([len(parts.get(k, b"")) // 8 for k in range(shards)], np.uint64)
+        blocks = np.frombuffer(b"".join(parts[k] for k in sorted(parts)), np.uint64)
+        return cls(np.cumsum(sizes) - sizes, sizes, blocks)
+
+    def hold(self, h: np.ndarray) -> np.ndarray:
+        """Which keys may be in the filters."""
+        shard = shard_of(h, len(self.sizes)) if len(self.sizes) > 1 else np.zeros(len(h), np.int64)
+        sizes, bits = self.sizes[shard], _bits(h)
+        found = self.blocks[np.minimum(self.starts[shard] + _block(h, sizes), np.uint64(len(self.blocks) - 1))]
+        return (found & bits == bits) & (sizes > 0)
 
 
-def probed(letters: np.ndarray, filters: dict[int, dict[int, np.ndarray]], shards: dict[int, int], alphabet: bytes) -> Iterator[tuple[int, bytes]]:
+def probed(letters: np.ndarray, filters: dict[int, Filters], alphabet: bytes) -> Iterator[tuple[int, bytes]]:
     """(row, edit) of the generated edits that the filters let through, for words of one length."""
     n, length = letters.shape
     places = np.arange(length)
@@ -181,7 +194,7 @@ def probed(letters: np.ndarray, filters: dict[int, dict[int, np.ndarray]], shard
         once = np.ones(letters.shape, bool)
         once[:, :-1] = letters[:, :-1] != letters[:, 1:]
         rows, at = np.nonzero(once)
-        found = held(filters[length - 1], shards[length - 1], _mixed((left + right)[rows, at]))
+        found = filters[length - 1].hold(_mixed((left + right)[rows, at]))
         for row, i in zip(rows[found].tolist(), at[found].tolist()):
             word = letters[row].tobytes()
             yield row, word[:i] + word[i + 1 :]
@@ -189,7 +202,7 @@ def probed(letters: np.ndarray, filters: dict[int, dict[int, np.ndarray]], shard
         for letter in alphabet:
             rows, at = np.nonzero(letters < letter)
             changed = whole[rows] - value[rows, at] + letter_value(places, np.full(length, letter))[at]
-            found = held(filters[length], shards[length], _mixed(changed))
+            found = filters[length].hold(_mixed(changed))
             for row, i in zip(rows[found].tolist(), at[found].tolist()):
                 word = letters[row].tobytes()
                 yield row, word[:i] + bytes((letter,)) + word[i + 1 :]
@@ -234,14 +247,15 @@ def near_words(words: DataFrame) -> DataFrame:
 
     def probing(sent):
         def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            filters: dict[int, dict[int, np.ndarray]] = {}
+            parts: dict[int, dict[int, bytes]] = {}
             for length, shard, bits in sent.value:
-                filters.setdefault(length, {})[shard] = np.frombuffer(bits, np.uint64)
+                parts.setdefault(length, {})[shard] = bits
+            filters = {length: Filters.of(shards[length], found) for length, found in parts.items()}
             for batch in batches:
                 listed = [w.encode("latin-1") for w in batch["word"]]
                 counts = batch["n"].to_numpy()
                 for rows, letters in by_length(listed):
-                    found = list(probed(letters, filters, shards, alphabet))
+                    found = list(probed(letters, filters, alphabet))
                     at = rows[[r for r, _ in found]].tolist() if found else []
                     word = pd.Series([listed[k].decode("latin-1") for k in at], dtype=object)
                     other = pd.Series([w.decode("latin-1") for _, w in found], dtype=object)

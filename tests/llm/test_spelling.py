@@ -98,6 +98,6 @@ def test_filters_lose_nothing_and_rarely_err():
     dice = random.Random(5)
     word = lambda: bytes(dice.choice(b"abcdefghijklmnopqrstuvwxyz\xe9\xfc") for _ in range(8))
     inside, outside = [word() for _ in range(20_000)], [word() for _ in range(20_000)]
-    blocks = {0: spelling.bloom(spelling.hashes(inside))}
-    assert spelling.held(blocks, 1, spelling.hashes(inside)).all()
-    assert np.mean(spelling.held(blocks, 1, spelling.hashes(outside))) < 0.01
+    blocks = spelling.Filters.of(1, {0: spelling.bloom(spelling.hashes(inside)).tobytes()})
+    assert blocks.hold(spelling.hashes(inside)).all()
+    assert np.mean(blocks.hold(spelling.hashes(outside))) < 0.01
