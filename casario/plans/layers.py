@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,9 @@ from casario.operators import (
 from casario.operators.filters import PRICE_ABOVE, RANGES
 from casario.schema import AUDIT, BRONZE_COLUMNS, OBT, SILVER
 
+#: Columns that become whole numbers, 0 where there is none.
+COUNTS = ("area", "quartos", "banheiros", "vagas")
+
 # Fixed value: groups with no more listings than this stay out of the marts.
 MIN_LISTINGS = 20
 
@@ -57,25 +61,34 @@ def typed(listings: DataFrame) -> DataFrame:
 
     The identity covers the price as cleaned text, so it is built before the cast.
     """
-    counts = ["area", "quartos", "banheiros", "vagas"]
     cleaned = listings.select(
         "origem",
         "date_ref",
         "tipo",
         before_comma(F.col("localizacao")).alias("localizacao"),
-        *[or_zero(try_int(F.col(name))).alias(name) for name in counts],
+        *[or_zero(try_int(F.col(name))).alias(name) for name in COUNTS],
         price_digits(F.col("preco")).alias("preco"),
         price_digits(F.col("condo")).alias("condo"),
     )
     amount = lambda name: or_zero(try_real(F.col(name))).cast("float")
     return cleaned.select(
         listing_id(*[F.col(name) for name in ID_FIELDS]).alias("id"),
-        "origem", "date_ref", "tipo", "localizacao", *counts,
+        "origem", "date_ref", "tipo", "localizacao", *COUNTS,
         amount("preco").alias("preco"),
         amount("condo").alias("condo"),
     )
 
 
+def has_identity() -> Column:
+    """Whether a bronze row gets an identity, told from its raw columns, so that the test can
+    reach the scan.
+
+    Cleaning keeps NULLs as they are, but for the counts, which are never NULL afterwards.
+    """
+    named = [F.col(name).isNotNull() for name in ID_FIELDS if name not in COUNTS]
+    return reduce(lambda a, b: a & b, named)
+
+
 def dedup_month(listings: DataFrame, keys: Sequence[str] = ("id", "date_ref")) -> DataFrame:
     """One row per identity and month, the dearest first.
 

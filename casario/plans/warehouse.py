@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casario.operators import not_null, plausible, unique
-from casario.plans.layers import bronze, dedup_month, mart_localizacao, mart_tipo, obt, silver, stamped, typed
+from casario.plans.layers import bronze, dedup_month, has_identity, mart_localizacao, mart_tipo, obt, silver, stamped, typed
 from casario.schema import SILVER
 from casario.sources import replace_partition, save_table
 
@@ -54,11 +54,11 @@ def bucketed_silver(listings: DataFrame, buckets: int) -> DataFrame:
 
     The identity alone also brings the rows of an identity and a month together.  Listings
     without an identity would all meet in one task that way, so they go a way of their own,
-    on which each task keeps one row a month before anything is shuffled.
+    on which each task keeps one row a month before anything is shuffled.  They are told apart
+    by their raw columns, so each row is cleaned and hashed once.
     """
-    rows = typed(listings)
-    named = dedup_month(rows.where(F.col("id").isNotNull()).repartition(buckets, "id"))
-    nameless = dedup_month(rows.where(F.col("id").isNull()))
+    named = dedup_month(typed(listings.where(has_identity())).repartition(buckets, "id"))
+    nameless = dedup_month(typed(listings.where(~has_identity())))
     return plausible(named.unionByName(nameless)).select(*SILVER.fieldNames())
 
 

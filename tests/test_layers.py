@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from casario.functions.features import ID_FIELDS
 from casario.operators import (
     enrich_location,
     filter_listings,
@@ -208,3 +209,17 @@ def test_quality_checks(spark):
     frame = silver_rows(spark, {"id": "a"}, {"id": "a"}, {"id": "b"}, {"id": None}, {"id": None})
     assert [tuple(r) for r in unique(frame, "id").collect()] == [("a", 2)]
     assert not_null(frame, "id").count() == 2
+
+
+def test_identity_is_told_from_raw_columns(spark):
+    import itertools
+
+    names = [*ID_FIELDS, "condo", "date_ref"]
+    changes = [dict.fromkeys(gone) for k in (0, 1, 2) for gone in itertools.combinations(names, k)]
+    odd = [{name: text} for name in names for text in ("", "x", "R$", ",")]
+    rows = layers.bronze(listings(spark, *changes, *odd))
+    named = layers.typed(rows.where(layers.has_identity()))
+    nameless = layers.typed(rows.where(~layers.has_identity()))
+    assert named.count() and named.where("id is null").count() == 0
+    assert nameless.count() and nameless.where("id is not null").count() == 0
+    assert named.count() + nameless.count() == rows.count()

@@ -51,6 +51,14 @@ def test_silver_is_shuffled_once(spark):
     assert exchanges(text) == exchanges(plan(inputs.listings_raw(spark, SF))) * 2 + 2  # the second: one row per task and month
 
 
+def test_nameless_listings_are_found_by_the_scan(spark, tmp_path):
+    inputs.listings_raw(spark, SF).write.parquet(str(tmp_path / "raw"))
+    text = bucketed_silver(layers.bronze(spark.read.parquet(str(tmp_path / "raw"))), 16)._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", text)
+    assert len(scans) == 2 and "Or(" in scans[1] and "IsNull(preco)" in scans[1] and "IsNotNull(preco)" in scans[0]
+    assert text.count("sha2") == 2
+
+
 def test_scans_read_only_needed_columns(spark):
     text = plan(queries()["extract_listings"](spark, SF))
     assert "c_acctbal" not in text and "p_name" not in text

@@ -80,6 +80,31 @@ def test_tables_are_replaced_and_counted(spark):
     assert spark.table("t_db.numbers").columns == ["id", "x"]
 
 
+def test_a_failed_replacement_leaves_the_old_rows(spark):
+    save_table(spark.range(5), "t_db", "kept", bucket_by=(2, "id"))
+    broken = spark.range(9).withColumn("x", F.when(F.col("id") == 7, F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        save_table(broken, "t_db", "kept")
+    assert spark.table("t_db.kept").count() == 5
+    # The table itself may be read, and what a stopped call left behind is no obstacle.
+    assert save_table(spark.table("t_db.kept").where("id > 1"), "t_db", "kept", bucket_by=(2, "id")) == 3
+    spark.sql("ALTER TABLE t_db.kept RENAME TO t_db.kept__last")
+    assert save_table(spark.range(4), "t_db", "kept") == 4
+    assert sorted(column(spark.table("t_db.kept"), "id")) == [0, 1, 2, 3]
+    assert [t.name for t in spark.catalog.listTables("t_db") if t.name.startswith("kept")] == ["kept"]
+
+
+def test_partitioned_tables_are_replaced(spark):
+    rows = [("2025-04", 1), ("2025-05", 2), (None, 3), ("a b/c=d'%", 4)]
+    for n in (1, 2):
+        frame = spark.createDataFrame(rows[: 5 - n] * n, "month string, id int")
+        assert save_table(frame, "t_db", "parts", ["month"], (2, "id")) == n * (5 - n)
+        assert sorted(map(str, spark.table("t_db.parts").select("month", "id").collect())) == sorted(map(str, frame.collect()))
+    assert spark.table("t_db.parts").where("month = '2025-05'").count() == 2
+    [path] = spark.table("t_db.parts").where("month = '2025-04'").inputFiles()[:1]
+    assert "/t_db.db/parts/" in path
+
+
 def test_query_data(spark):
     frame = spark.createDataFrame([(10.0, 4), (1.0, 2)], "preco float, area int")
     got = query_data(spark, "SELECT preco / area AS m2 FROM {t} WHERE preco > {low}", t=frame, low=5)
