@@ -36,6 +36,8 @@ _TOKEN = rf"</?[A-Za-z]{_REST}|<[!?][^>]*+>|(?:[^<]++|<(?![A-Za-z/!?]))++"
 # A tag that opens an element with content, and a tag name that ends a paragraph.
 _OPENS = rf"^<(?!(?i:{'|'.join(VOID)})\b)[A-Za-z](?![\s\S]*/>$)"
 _IS_BLOCK = rf"^(?:{'|'.join(BLOCKS)})$"
+# An element without tags inside, and a void tag.
+_LEAF = rf"<([A-Za-z][^\s>/]*+){_REST}(?<!/>)[^<]*+</\1\s*+>|<(?i:{'|'.join(VOID)})\b{_REST}"
 # Stands for something hidden between two text nodes, and for a place to split at.
 _CUT, _MARK = "\x01", "\x02"
 
@@ -51,6 +53,8 @@ class Element:
 
     tag: str
     opening: str
+    #: Texts that every such tag has: classes, attribute values.
+    marks: tuple[str, ...] = ()
 
     @property
     def closed(self) -> str:
@@ -61,7 +65,7 @@ class Element:
 def _content(tag: str, depth: int) -> str:
     """Pattern of what an element of this kind holds, with its kind inside `depth` times at most."""
     if tag == "p":
-        return _without("|".join(BLOCKS))
+        return _without(_any_of(BLOCKS))
     if tag == "li":
         # Items inside are those of lists inside.
         inner = _without("li|ul|ol")
@@ -75,6 +79,12 @@ def _content(tag: str, depth: int) -> str:
     return inner
 
 
+def _any_of(names: Sequence[str]) -> str:
+    """Pattern of any of the names, tried by their first letters."""
+    rest = {name[0]: [n[1:] for n in names if n[0] == name[0]] for name in names}
+    return "|".join(f"{letter}(?:{'|'.join(sorted(ends, key=len, reverse=True))})" for letter, ends in rest.items())
+
+
 def _without(tags: str, but: str | None = None) -> str:
     """Pattern of markup without tags of these kinds, but for the elements `but`."""
     more = f"|(?i:{but})" if but else ""
@@ -104,7 +114,7 @@ def open_tag(tag: str, classes: Sequence[str] = (), attrs: Mapping[str, str] | N
 def element(
     tag: str, classes: Sequence[str] = (), attrs: Mapping[str, str] | None = None
 ) -> Element:
-    return Element(tag, open_tag(tag, classes, attrs))
+    return Element(tag, open_tag(tag, classes, attrs), (*classes, *(attrs or {}).values()))
 
 
 def visible(html: Column) -> Column:
@@ -130,8 +140,7 @@ def card_list(html: Column, card: Element) -> Column:
 
 def _elements(shown: Column, card: Element) -> Column:
     def found(closed_ones: Column) -> Column:
-        every = F.regexp_count(shown, F.lit(card.opening))
-        return F.when(F.size(closed_ones) == every, closed_ones).otherwise(by_count(shown))
+        return F.when(_are_all(closed_ones, [shown], card), closed_ones).otherwise(by_count(shown))
 
     def by_count(shown: Column) -> Column:
         marked = F.split(F.regexp_replace(shown, f"({card.opening})", f"{_MARK}$1"), _MARK)
@@ -145,6 +154,27 @@ def _elements(shown: Column, card: Element) -> Column:
     return bind(F.regexp_extract_all(shown, F.lit(card.closed), F.lit(0)), found)
 
 
+def _are_all(found: Column, htmls: Sequence[Column] | Column, kind: Element) -> Column:
+    """Whether as many were found as elements of this kind begin in the texts.
+
+    Counting a text that each of them has is fast, and mostly tells: there are no more of them.
+    """
+
+    def total(count: Callable[[Column], Column]) -> Column:
+        if isinstance(htmls, Column):
+            return F.aggregate(htmls, F.lit(0), lambda n, html: n + count(html))
+        return sum((count(html) for html in htmls), F.lit(0))
+
+    def times(html: Column, text: str) -> Column:
+        return ((F.length(html) - F.length(F.replace(html, F.lit(text), F.lit("")))) / len(text)).cast("int")
+
+    exact = F.size(found) == total(lambda html: F.regexp_count(html, F.lit(kind.opening)))
+    if not kind.marks:
+        return exact
+    most = [total(lambda html, text=text: times(html, text)) for text in kind.marks]
+    return F.when(F.size(found) == (F.least(*most) if len(most) > 1 else most[0]), True).otherwise(exact)
+
+
 def _to_end(html: Column, tag: str) -> Column:
     """`html`, which begins with an opening tag, up to where that element ends; else NULL."""
     if tag == "li":
@@ -201,26 +231,21 @@ def texts(html: Column, pattern: Element, within: Element | None = None) -> Colu
 def shown_texts(shown: Column, pattern: Element, within: Element | None = None) -> Column:
     """The same for markup without comments and scripts, as that of cards is."""
 
-    def count(html: Column, kind: Element) -> Column:
-        return F.regexp_count(html, F.lit(kind.opening))
-
     def quick(contents: Column) -> Column:
         # Most elements hold one text and nothing else.
         plain = F.forall(contents, lambda content: ~content.contains("<"))
         return F.when(plain, contents).otherwise(F.flatten(F.transform(contents, _direct_text)))
 
-    def of_contents(contents: Column, opened: Column) -> Column:
-        return F.when(F.size(contents) == opened, quick(contents)).otherwise(_walk(shown, pattern, within))
+    def of_contents(contents: Column, all_found: Column) -> Column:
+        return F.when(all_found, quick(contents)).otherwise(_walk(shown, pattern, within))
 
     def of_blocks(blocks: Column) -> Column:
-        inside = lambda kind: F.aggregate(blocks, F.lit(0), lambda n, block: n + count(block, kind))
         contents = F.flatten(F.transform(blocks, lambda block: _contents(block, pattern)))
-        # Blocks inside each other would give their texts twice.
-        every = (F.size(blocks) == count(shown, within)) & (inside(within) == 0)
-        return bind(contents, lambda found: of_contents(found, F.when(every, inside(pattern)).otherwise(-1)))
+        # Blocks inside each other are fewer than their opening tags.
+        return bind(contents, lambda found: of_contents(found, _are_all(blocks, [shown], within) & _are_all(found, blocks, pattern)))
 
     if within is None:
-        nodes = bind(_contents(shown, pattern), lambda contents: of_contents(contents, count(shown, pattern)))
+        nodes = bind(_contents(shown, pattern), lambda contents: of_contents(contents, _are_all(contents, [shown], pattern)))
     else:
         nodes = bind(_contents(shown, within), of_blocks)
     pieces = lambda node: F.when(node.contains(_CUT), F.split(node, _CUT)).otherwise(F.array(node))
@@ -255,8 +280,15 @@ def _gathered(tokens: Column, memory: Column, step: Callable[[Column, Column], t
 
 
 def _direct_text(content: Column) -> Column:
-    """Text nodes of an element; one that holds no tag is one text."""
-    return F.when(content.contains("<"), _walk(content, start=":11")).otherwise(F.array(content))
+    """Text nodes of an element: what is left without the elements inside."""
+
+    def bare(html: Column, rounds: int) -> Column:
+        if not rounds:
+            return _walk(content, start=":11")
+        cut = F.regexp_replace(html, _LEAF, _CUT)
+        return bind(cut, lambda left: F.when(left.contains("<"), bare(left, rounds - 1)).otherwise(F.split(left, _CUT)))
+
+    return F.when(content.contains("<"), bare(content, 2)).otherwise(F.array(content))
 
 
 def _walk(html: Column, pattern: Element | None = None, within: Element | None = None, start: str = ":01") -> Column:
