@@ -13,12 +13,14 @@ depends on its gram alone, so every distinct gram is priced once: a seen one by
 unseen one from the longest context down.  As the symbols of a context are among those of the
 next shorter one, what is excluded there is a sum kept with the longer context.
 
-The most frequent grams (`HOT_GRAMS`) and words (`HOT_WORDS`, each of at most `HOT_BYTES` bytes)
-are sent to every executor with exact prices; all others are joined.  Both numbers bound
-memory, not results.
+The most frequent grams (`HOT_GRAMS` at most) and words (`HOT_WORDS`, `HOT_WORD_BYTES` together) are
+sent to every executor with exact prices; all others are joined.  Which they are follows from how
+many there are of each frequency, so no task sorts them.  These numbers bound memory, not results.
 
 Training documents are those whose crc32 of the id as text is not `HELD_OUT` modulo
-`FOLDS`; a null id counts as the empty string.  A null text is an empty one: just an end.
+`FOLDS`; a null id counts as the empty string.  A null text is an empty one: just an end.  Texts
+are scored whole, however long; repeated rows count each time and get equal scores; an empty
+table gives no rows.  Only `doc_id` and `text` are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -39,11 +41,13 @@ ORDER = 2
 FOLDS = 7
 HELD_OUT = 2
 HOT_WORDS = 100_000
-HOT_BYTES = 32
+HOT_WORD_BYTES = 8 << 20
+#: A longer word is joined, however frequent.
+HOT_BYTES = 4096
 HOT_GRAMS = 500_000
 #: Distinct words, and bytes of text, that a task gathers before it passes them on.
 FLUSH = 400_000
-FLUSH_BYTES = 1 << 22
+FLUSH_BYTES = 1 << 23
 #: Orders below this have tables of at most 2**16 grams, which are broadcast.
 SMALL_ORDERS = 2
 #: The end of a text as a word; words have no space.
@@ -115,8 +119,13 @@ def trie(grams: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
     """Nodes (k, key, n) of all orders, and contexts (k, context, total, distinct, lower).
 
     `lower` is the count that the context's symbols have in the next shorter context."""
-    every = grams.select(suffixes(F.col("gram"), order).alias("s"), "n")
-    nodes = written(every.groupBy("s.k", "s.key").agg(F.sum("n").alias("n")))
+    last = lambda k: F.col("gram").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
+    nodes, level = None, grams
+    for k in range(order, -1, -1):
+        # Each order is a sum of the one above, which has more rows.
+        level = written(level.groupBy(last(k).alias("gram")).agg(F.sum("n").alias("n"))) if k < order else grams
+        found = level.select(F.lit(k).alias("k"), F.col("gram").bitwiseOR(F.lit(1 << 8 * (k + 1))).alias("key"), "n")
+        nodes = found if nodes is None else nodes.unionByName(found)
     shorter = F.element_at(
         F.array(*(F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).bitwiseOR(F.lit(1 << 8 * k)) for k in range(order + 1))), F.col("k") + 1
     )
@@ -192,6 +201,19 @@ def _scorer(hot_grams: np.ndarray, prices: np.ndarray, hot: dict[bytes, float],
     return scan
 
 
+def frequent(counts: DataFrame, most: int, size: Column | None = None, most_bytes: int = 0) -> DataFrame:
+    """The rows with the largest `n`: as many steps of it (16 to a power of two) as have `most` rows together."""
+    step = F.floor(F.log2("n") * 16)
+    sizes = F.sum(size if size is not None else F.lit(0))
+    least, rows, held = None, 0, 0
+    for found in counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows"), sizes.alias("bytes")).orderBy(F.desc("step")).collect():
+        rows, held = rows + found["rows"], held + found["bytes"]
+        if rows > most or held > most_bytes:
+            break
+        least = found["step"]
+    return counts.filter(step >= least) if least is not None else counts.limit(0)
+
+
 def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """A row per document: its tokens, how many are known, the unigram and the model's score."""
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
@@ -201,10 +223,10 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     denominator = totals.tokens + totals.distinct + 1
     nodes, contexts = trie(counts.filter("gram is not null").select("gram", "n"), order)
     seen = written(seen_prices(nodes, contexts, order))
-    common = seen.orderBy(F.desc("n"), "gram").limit(HOT_GRAMS).select("gram", "price").toArrow()
+    common = frequent(seen, HOT_GRAMS).select("gram", "price").toArrow()
     by_gram = np.argsort(common["gram"].to_numpy())
     hot_grams, prices = common["gram"].to_numpy()[by_gram], common["price"].to_numpy()[by_gram]
-    top = words.filter(F.octet_length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(HOT_WORDS).toPandas()
+    top = frequent(words.filter(F.octet_length("word") <= HOT_BYTES), HOT_WORDS, F.octet_length("word"), HOT_WORD_BYTES).toPandas()
     hot = {bytes(w): math.log10((n + 1) / denominator) for w, n in zip(top["word"], top["n"])}
 
     scan = struct_udf(_scorer(hot_grams, prices, hot, order), SCHEMA)(F.col("text").cast("binary"))
