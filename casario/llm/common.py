@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -30,10 +31,18 @@ def space_words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+#: A key with more than one in so many rows of a join is dealt to several tasks, SALTS of them.
+HOT_PARTS = 1000
+SALTS = 64
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share.  Where none is set, a temporary one is made if
+    they are one process; other executors would not see it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="casario-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -75,3 +84,17 @@ def unpacked(frame: DataFrame, like: DataFrame, *more: str) -> DataFrame:
     """The columns of `like` out of `doc`, and `more`; these replace columns of the same name."""
     taken = {name.lower() for name in more}
     return frame.select(*(F.col("doc")[c].alias(c) for c in like.columns if c.lower() not in taken), *more)
+
+
+def dealt_join(rows: DataFrame, keyed: DataFrame, keys: list[str], weight: str, salt: Column) -> DataFrame:
+    """`rows` with the columns of `keyed`, a written table with a row per key and, in `weight`, the
+    number of rows that have it; `salt` is a number that deals out the rows of hot keys."""
+    total = keyed.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) * HOT_PARTS > total
+    few = keyed.filter(hot).select(*(F.col(k).alias(f"_{k}") for k in keys), F.lit(True).alias("_hot"))
+    # At most HOT_PARTS keys are hot.
+    same = [F.col(k) == F.col(f"_{k}") for k in keys]
+    salted = rows.join(F.broadcast(few), same, "left").drop(*(f"_{k}" for k in keys))
+    salted = salted.withColumn("_salt", F.when(F.col("_hot"), F.pmod(salt, F.lit(SALTS)).cast("int")).otherwise(0)).drop("_hot")
+    copies = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    return salted.join(keyed.withColumn("_salt", copies).drop(weight), [*keys, "_salt"]).drop("_salt")

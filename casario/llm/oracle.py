@@ -8,7 +8,7 @@ check them in tests.
 from __future__ import annotations
 
 from casario.llm.queries import BLOCK_BYTES, SHARD_BYTES, WEIGHTS
-from casario.llm.url_templates import LEVELS, MANY, PRIOR, PURITY, RARE, RULES, SIMILAR
+from casario.llm.url_templates import MANY, PRIOR, PURITY, RARE, RULES, SIMILAR
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -109,8 +109,8 @@ def _op6() -> str:
     fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v) for v, h, p in rules]
     rule = " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in fits)
     ruled = " ".join(f"WHEN {c} THEN '{v}'" for c, _, v in fits)
-    sql = f"""
-WITH found AS (
+    return f"""
+WITH RECURSIVE found AS (
     SELECT page_id, host, path, CASE {rule} END AS rule, CASE {ruled} END AS ruled FROM (
         SELECT page_id,
             translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -118,46 +118,44 @@ WITH found AS (
         FROM pages
     )
 ),
-level0 AS (
-    SELECT host, path, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (ruled = 'allow') AS allowed, '' AS template,
-        string_split(path, '/') AS parts
+paths AS (
+    SELECT host, path, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (ruled = 'allow') AS allowed, string_split(path, '/')[2:] AS parts
     FROM found GROUP BY host, path
-)"""
-    for level in range(1, LEVELS + 1):
-        raw = f"parts[{level + 1}]" if level < LEVELS else f"array_to_string(parts[{level + 1} :], '/')"
-        sql += f""",
-named{level} AS (
-    SELECT *, CASE WHEN len(parts) > {level} THEN
-        CASE WHEN regexp_matches(regexp_replace({raw}, '\\.[A-Za-z]{{1,5}}$', ''), '^[0-9]+$|^[0-9A-Fa-f-]{{16,}}$') THEN '*' ELSE {raw} END END AS child
-    FROM level{level - 1}
-),
-children{level} AS (
-    SELECT host, template, child, sum(labelled) AS labelled, sum(allowed) AS allowed FROM named{level} WHERE child IS NOT NULL GROUP BY ALL
 ),
-nodes{level} AS (
-    SELECT host, template, count(*) AS branches, sum(labelled) AS all_labelled, sum(allowed) AS all_allowed FROM children{level} GROUP BY ALL
-),
-kept{level} AS (
-    SELECT host, template, child, CASE
-        WHEN child = '*' OR branches >= {MANY} AND branches * {RARE} >= 1 THEN '*'
-        WHEN branches > 1 AND labelled > 0 AND (allowed / labelled - all_allowed / all_labelled) ** 2
-            <= {SIMILAR * SIMILAR} * (all_allowed / all_labelled) * (1 - all_allowed / all_labelled) / labelled THEN '~'
-        ELSE child END AS kept
-    FROM children{level} JOIN nodes{level} USING (host, template)
+-- A row per path and segment number k: the template of the segments before it.
+tree AS (
+    SELECT *, 1 AS k, '' AS template FROM paths
+    UNION ALL
+    SELECT host, path, n, labelled, allowed, parts, k + 1, template || '/' || CASE
+        WHEN child = '*' THEN '*'
+        WHEN differs THEN child
+        WHEN branches >= {MANY} AND child_n <= {RARE} * node_n THEN '*'
+        WHEN child_labelled > 0 AND branches > 1 THEN '~'
+        ELSE child END
+    FROM (
+        SELECT *, child_labelled > 0 AND ((child_allowed + {PRIOR} * node_allowed / node_labelled) / (child_labelled + {PRIOR}) - node_allowed / node_labelled) ** 2
+            > {SIMILAR * SIMILAR} * ((node_allowed / node_labelled) * (1 - node_allowed / node_labelled) / (child_labelled + {PRIOR})) AS differs
+        FROM (
+            SELECT *, count(DISTINCT child) OVER node AS branches, sum(n) OVER node AS node_n, sum(labelled) OVER node AS node_labelled,
+                sum(allowed) OVER node AS node_allowed, sum(n) OVER kid AS child_n, sum(labelled) OVER kid AS child_labelled, sum(allowed) OVER kid AS child_allowed
+            FROM (
+                SELECT *, CASE WHEN regexp_matches(regexp_replace(parts[k], '\\.[A-Za-z]{{1,5}}$', ''), '^[0-9]+$|^[0-9A-Fa-f-]{{16,}}$')
+                    THEN '*' ELSE parts[k] END AS child
+                FROM tree WHERE k <= len(parts)
+            )
+            WINDOW node AS (PARTITION BY host, template), kid AS (PARTITION BY host, template, child)
+        )
+    )
 ),
-level{level} AS (
-    SELECT host, path, n, labelled, allowed, CASE WHEN kept IS NULL THEN template ELSE template || '/' || kept END AS template, parts
-    FROM named{level} LEFT JOIN kept{level} USING (host, template, child)
-)"""
-    return sql + f""",
-per_host AS (SELECT host, template, sum(labelled) AS labelled, sum(allowed) AS allowed FROM level{LEVELS} GROUP BY ALL),
+ends AS (SELECT * FROM tree WHERE k = len(parts) + 1),
+per_host AS (SELECT host, template, sum(labelled) AS labelled, sum(allowed) AS allowed FROM ends GROUP BY ALL),
 total AS (SELECT (sum(allowed) + {PRIOR} * 0.5) / (sum(labelled) + {PRIOR}) AS prior FROM per_host),
 everywhere AS (SELECT template, (sum(allowed) + {PRIOR} * any_value(prior)) / (sum(labelled) + {PRIOR}) AS prior FROM per_host CROSS JOIN total GROUP BY ALL),
 purity AS (
     SELECT host, template, (allowed + {PRIOR} * prior) / (labelled + {PRIOR}) AS purity FROM per_host JOIN everywhere USING (template)
 )
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity >= {PURITY} THEN 'allow' ELSE 'block' END) AS verdict, template
-FROM found JOIN level{LEVELS} USING (host, path) JOIN purity USING (host, template)
+FROM found JOIN ends USING (host, path) JOIN purity USING (host, template)
 """
 
 
