@@ -21,7 +21,10 @@ So members of a large group of copies are compared with hubs, not with each othe
 documents that only share a frequent passage are told apart by position, without comparing.
 
 A document without words, or with a null text, has an empty set and is linked with nothing.
-Rows with a null id are linked, but never name a component.
+Rows with a null id are linked, but never name a component; where all ids of a component are null,
+its id is null.  Rows that repeat an id are documents of their own, each with its own set; ties
+in size or frequency are settled by the row.  Texts are taken whole, however long.  An empty table
+gives no rows.  Only `doc_id` and `text` are read; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -33,15 +36,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casario.llm.common import space_words, struct_udf, written
+from casario.llm.common import dealt_join, packed, space_words, struct_udf, unpacked, written
 
 WORDS = 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 K = 64
 NEED = 24
-#: A pair goes to the exact check from this estimate on: 0.75 less five standard deviations.
-LEAST_ESTIMATE = 0.75 - 5 * (0.75 * 0.25 / K) ** 0.5
+#: A pair goes to the exact check from this estimate on; at 0.75 it is below with the same
+#: probability as a pair shares fewer than NEED retained values (5e-11).
+LEAST_ESTIMATE = NEED / K
 
 SKETCH = "n_shingles long, print binary, sketch array<long>"
 
@@ -85,7 +89,12 @@ def _sketches(texts: list[bytes | None]) -> Iterator[tuple]:
 
 def _full_sets(texts: list[bytes | None]) -> Iterator[tuple]:
     for values in shingle_sets(texts):
-        yield (values,)
+        yield xxhash.xxh3_128_digest(values.tobytes()) if len(values) else None, values
+
+
+def _prints(texts: list[bytes | None]) -> Iterator[tuple]:
+    for print_, _ in _full_sets(texts):
+        yield (print_,)
 
 
 def needed(n: Column) -> Column:
@@ -143,17 +152,22 @@ def components(edges: DataFrame) -> DataFrame:
 def links(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, component) of the representatives that are linked to another one.
 
-    `sketched` has (doc, n, sketch), a row per representative; `docs` has (doc_id, text).
+    `sketched` has (doc, n, sketch, print, doc_id), a row per representative, whose number `doc` is;
+    `docs` has (doc_id, text).
     """
     postings = sketched.select(F.explode("sketch").alias("value"), "doc", "n")
     retained = F.least(F.col("n"), F.lit(K))
     coarse = rare_lists(postings, retained, needed(F.col("n")))
     met = coarse.groupBy("value").agg(F.count("*").alias("m")).filter("m > 1").select("value")
-    left = written(coarse.join(met, "value", "left_semi").select("doc").distinct())
-
-    # A row for each id: of repeated rows of an id the representative's text is any of them.
-    texts = docs.join(left, docs["doc_id"] == left["doc"], "left_semi").select(F.col("doc_id").alias("doc"), F.col("text").cast("binary").alias("text"))
-    sets = written(texts.select("doc", struct_udf(_full_sets, "values array<long>")("text").alias("s")).select("doc", "s.values").dropDuplicates(["doc"]))
+    left = coarse.join(met, "value", "left_semi").select("doc").distinct()
+    left = written(sketched.select("doc", F.col("print").alias("of_print"), "doc_id").join(left, "doc", "left_semi"))
+
+    # An id may have several texts; the print tells which of them is the representative's.
+    ids = left.select(F.col("doc_id").alias("id")).distinct()
+    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["id"]), "left_semi").select(F.col("text").cast("binary").alias("text"))
+    made = texts.select(struct_udf(_full_sets, "print binary, values array<long>")("text").alias("s")).select("s.*")
+    sets = made.join(left, made["print"] == left["of_print"]).select("doc", "values")
+    sets = written(sets.dropDuplicates(["doc"]))
     full = sets.select(F.explode("values").alias("value"), "doc", F.size("values").cast("long").alias("n"))
     lists = written(rare_lists(full, F.col("n"), F.ceil(F.col("n") * PERCENT / 100)))
 
@@ -181,27 +195,49 @@ def links(sketched: DataFrame, docs: DataFrame) -> DataFrame:
     return components(first.unionByName(second))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """A row per document: size of its set, component, and whether it is the one to keep."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, n_shingles, print, component_id, first) of every row: the smallest id of its
+    component, and the row that has it (where all ids are null: the first row)."""
     rows = docs.select("doc_id", "text")
     sketch = struct_udf(_sketches, SKETCH)(F.col("text").cast("binary"))
-    made = written(rows.select("doc_id", sketch.alias("s")).select("doc_id", "s.*"))
-    classes = made.filter("n_shingles > 0 and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("doc"))
-    classes = written(classes)
-    # Of each class the row that gave the representative its id (one sketch, if it is repeated).
-    chosen = made.join(classes, (made["print"] == classes["print"]) & (made["doc_id"] == classes["doc"]), "left_semi")
-    sketched = chosen.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch")
-    linked = links(sketched, rows)
-    named = classes.join(linked, "doc", "left").select("print", F.coalesce("component", "doc").alias("component"))
-    out = made.select("doc_id", "n_shingles", "print").join(named, "print", "left")
-    out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    made = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", sketch.alias("s"))
+    made = written(made.select("row", "doc_id", "s.*"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("least")
+    classes = written(made.filter("n_shingles > 0").groupBy("print").agg(least, F.min("row").alias("doc"), F.count("*").alias("n")))
+    of_class = classes.select(F.col("print").alias("of_print"), "doc", F.col("least.doc_id").alias("least_id"))
+    chosen = made.join(of_class, (made["print"] == of_class["of_print"]) & (made["row"] == of_class["doc"]))
+    sketched = chosen.select("doc", F.col("n_shingles").alias("n"), "sketch", "print", F.col("least_id").alias("doc_id"))
+    linked = written(classes.join(links(sketched, rows), "doc", "left").select("print", "n", "least", F.coalesce("component", "doc").alias("component")))
+    best = written(linked.groupBy("component").agg(F.min("least").alias("best"), F.count("*").alias("classes")))
+    named = dealt_join(linked, best, ["component"], "classes", F.xxhash64("print"))
+    named = written(named.select("print", "n", F.col("best.doc_id").alias("component_id"), F.col("best.row").alias("first")))
+    rows = made.select("row", "doc_id", "n_shingles", "print")
+    with_words = dealt_join(rows.filter("n_shingles > 0"), named, ["print"], "n", F.col("row"))
+    without = rows.filter("n_shingles = 0").select("*", F.col("doc_id").alias("component_id"), F.col("row").alias("first"))
+    return with_words.unionByName(without)
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """A row per document: size of its set, component, and whether it is the one to keep."""
+    kept = F.when(F.col("doc_id").isNull(), F.col("row") == F.col("first")).otherwise(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return grouped(docs).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each group: the one with the smallest id; rows of one id stay one row."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id")
-    kept = written(kept)
-    out = docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    repeated = kept.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null")
-    return out if repeated.isEmpty() else out.dropDuplicates(["doc_id"])
+    """One document of each group: the one with the smallest id, and of repeated rows one; documents
+    without words all stay."""
+    verdict = grouped(docs).withColumn("stays", F.col("row") == F.col("first"))
+    ids = verdict.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("stays").alias("stays"))
+    single = (F.col("n") == 1) & F.col("doc_id").isNotNull()
+    ids = written(ids.filter("stays").select(F.col("doc_id").alias("id"), single.alias("single")))
+    out = docs.join(ids.filter("single"), docs["doc_id"] == ids["id"], "left_semi")
+    several = ids.filter("not single").select("id")
+    if several.isEmpty():
+        return out
+    # Rows that share an id are told apart by their prints.
+    texts = packed(docs, in_id=F.col("doc_id"), print=struct_udf(_prints, "print binary")(F.col("text").cast("binary"))["print"])
+    texts = texts.join(several, F.col("in_id").eqNullSafe(F.col("id")), "left_semi")
+    chosen = verdict.filter("stays and print is not null").select(F.col("doc_id").alias("id"), F.col("print").alias("of_print"))
+    wanted = texts.join(chosen, F.col("in_id").eqNullSafe(F.col("id")) & (F.col("print") == F.col("of_print")), "left_semi")
+    again = wanted.dropDuplicates(["in_id", "print"]).unionByName(texts.filter("print is null"))
+    return out.unionByName(unpacked(again, docs))

@@ -11,7 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from casario.llm import decontamination, mixing, neardup, ppm, sharding, url_templates
+from casario.llm import common, decontamination, mixing, neardup, ppm, sharding, url_templates
 from casario.llm import queries as registered
 from casario.llm.common import alnum_words
 from llm.samples import awkward, clashing, edited, frame, words
@@ -83,10 +83,13 @@ def components_brute(rows):
     for k, (doc_id, *_) in enumerate(rows):
         if doc_id is not None:
             ids[root(k)].append(doc_id)
-    out = []
+    out, first = [], {}
     for k, (doc_id, *_) in enumerate(rows):
         component = min(ids[root(k)], default=None) if sets[k] else doc_id
-        out.append((doc_id, len(sets[k]), component, component == doc_id))
+        # Of rows without an id one stays, and only where there is no other.
+        own = root(k) if sets[k] else -1 - k
+        kept = component == doc_id and (doc_id is not None or first.setdefault(own, k) == k)
+        out.append((doc_id, len(sets[k]), component, kept))
     return Counter(out)
 
 
@@ -107,6 +110,26 @@ def test_near_duplicates(spark):
     assert neardup.near_duplicates(frame(spark, [])).count() == neardup.without_near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_near_duplicates_under_null_and_repeated_ids(spark):
+    a, b, t = (words(k, 120, 5000) for k in (1, 2, 3))
+    rows = [(1, a), (1, b), (2, edited(b, 1, 2)), (3, t), (None, edited(t, 1, 2)), (None, words(4, 80)), (None, words(4, 80)), (1, a), (9, ""), (None, None), (9, "")]
+    rows = [(k, text, "en", "s", n) for n, (k, text) in enumerate(rows)]
+    assert Counter(map(tuple, neardup.near_duplicates(frame(spark, rows)).collect())) == components_brute(rows)
+    left = [(r.doc_id, r.text) for r in neardup.without_near_duplicates(clashing(frame(spark, rows))).collect()]
+    want = [(1, a), (1, b), (3, t), (None, words(4, 80)), (9, ""), (None, None), (9, "")]
+    assert Counter(left) == Counter(want)
+    same = frame(spark, [(None, a, "", "", 1), (None, a, "", "", 1), (7, a, "", "", 1)])
+    assert [r.doc_id for r in neardup.without_near_duplicates(same).collect()] == [7]
+
+
+def test_near_duplicates_with_hot_groups(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_PARTS", 5)
+    a, b = words(1, 120, 5000), words(2, 120, 5000)
+    texts = [a] * 40 + [edited(a, k, 2) for k in range(20)] + [None] * 40 + [b, edited(b, 1, 1)]
+    rows = [(k if k % 3 else None, text, "en", "s", k) for k, text in enumerate(texts)]
+    assert Counter(map(tuple, neardup.near_duplicates(frame(spark, rows)).collect())) == components_brute(rows)
+
+
 def test_ppm(spark, monkeypatch):
     monkeypatch.setattr(ppm, "HOT_WORDS", 20)
     rows = awkward() + [(k, words(k, 30, 50), "", "", 1) for k in range(500, 530)]
@@ -298,3 +321,79 @@ def test_url_templates(spark):
     assert {got[k].template for k in range(40)} == {"/blog/*/view"}
     assert {got[100 + k].template for k in range(10)} == {"/about/p0", "/about/p1"}
     assert got[300].rule is None and got[300].verdict == "block"
+
+
+def tree_brute(urls):
+    """Template of each (host, path), level by level, with plain dictionaries."""
+    paths = {}
+    for url in urls:
+        host, path, rule, verdict = rule_brute(url)
+        n, labelled, allowed = paths.get((host, path), (0, 0, 0))
+        paths[host, path] = (n + 1, labelled + (rule is not None), allowed + (verdict == "allow" if rule else 0))
+    template, level = {key: "" for key in paths}, 1
+    while any(key[1].count("/") >= level for key in paths):
+        nodes, kids = {}, {}
+        child = {}
+        for key, counts in paths.items():
+            parts = key[1].split("/")
+            if len(parts) > level:
+                raw = parts[level]
+                stem = re.sub(r"\.[A-Za-z]{1,5}$", "", raw)
+                child[key] = "*" if re.fullmatch("[0-9]+|[0-9A-Fa-f-]{16,}", stem) else raw
+                node = (key[0], template[key])
+                for table, at in ((nodes, node), (kids, (*node, child[key]))):
+                    table[at] = tuple(a + b for a, b in zip(table.get(at, (0, 0, 0)), counts))
+        branches = {node: sum(k[:2] == node for k in kids) for node in nodes}
+        for key, kid in child.items():
+            node = (key[0], template[key])
+            (all_n, all_labelled, all_allowed), (n, labelled, allowed) = nodes[node], kids[(*node, kid)]
+            if kid != "*":
+                pooled = all_allowed / all_labelled if all_labelled else 0
+                gap = (allowed + 4 * pooled) / (labelled + 4) - pooled
+                if labelled and gap * gap > 1.96 * 1.96 * (pooled * (1 - pooled) / (labelled + 4)):
+                    pass
+                elif branches[node] >= 12 and n <= 0.05 * all_n:
+                    kid = "*"
+                elif labelled and branches[node] > 1:
+                    kid = "~"
+            child[key] = kid
+        for key, kid in child.items():
+            template[key] += "/" + kid
+        level += 1
+    return template
+
+
+def deep_urls():
+    urls = [f"http://n.org/en/news/2024/01/{k}" for k in range(6)] + [f"http://n.org/a/b/post/{k}/view" for k in range(6)]
+    urls += [f"http://b.com/{lang}/x{k}/y" for lang in ("fr", "de") for k in range(30)] + [f"http://b.com/s{k}/z" for k in range(17)]
+    for host, n in (("k19", 19), ("k21", 21)):
+        urls += [f"http://{host}.net/a{k}/deep/1/2/c{k}/e" for k in range(n)] + [f"http://{host}.net/big/{k}/x" for k in range(50)]
+    return urls + [None, None, "http://b.com/", "http://b.com", "http://b.com//", "http://h.net/" + "/".join("abcdefghij" * 3)]
+
+
+def templates_of(spark, urls):
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    return {rule_brute(urls[r.page_id])[:2]: r.template for r in url_templates.judged(rows).collect()}
+
+
+def test_url_tree_at_any_depth(spark):
+    urls = deep_urls()
+    got = templates_of(spark, urls)
+    assert got == tree_brute(urls)
+    assert len({got["n.org", f"/en/news/2024/01/{k}"] for k in range(6)}) == 1 == len({got["n.org", f"/a/b/post/{k}/view"] for k in range(6)})
+    assert {got["k21.net", f"/a{k}/deep/1/2/c{k}/e"] for k in range(21)} == {"/*/deep/*/*/*/e"}
+    # One more folder changes nothing for the large ones, which differ in their labels.
+    more = templates_of(spark, [*urls, "http://b.com/s17/z"])
+    for found in (got, more):
+        assert found["b.com", "/fr/x1/y"].startswith("/fr/") and found["b.com", "/de/x1/y"].startswith("/de/")
+
+
+def test_url_tree_with_hot_keys_and_clashing_names(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_PARTS", 10)
+    urls = deep_urls() + ["http://b.com/fr/x1/y"] * 200 + [None] * 100
+    want = tree_brute(urls)
+    rows = spark.createDataFrame([(None if k % 7 == 0 else k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    names = ["host", "path", "n", "child", "paths", "_salt", "_hot", "weight", "rest", "kept", "label", "rule", "verdict"]
+    got = url_templates.judged(rows.select("*", *(F.lit(1).alias(n) for n in names))).collect()
+    assert len(got) == len(urls) and sum(r.page_id is None for r in got) == len(range(0, len(urls), 7))
+    assert all(r.template == want[r.host, r.path] for r in got)
