@@ -125,8 +125,12 @@ def obt(
 
     Enrichment comes after the dedup, so that it runs once per listing that stays.
     """
-    one_each = dedup_all(listings.select(*SILVER.fieldNames()))
-    featured = enrich_location(one_each, dim).withColumn(
+    return enriched(dedup_all(listings.select(*SILVER.fieldNames())), dim, bands)
+
+
+def enriched(listings: DataFrame, dim: DataFrame | None = None, bands: Sequence[Band] = BANDS) -> DataFrame:
+    """Silver rows with the columns of the enriched table."""
+    featured = enrich_location(listings, dim).withColumn(
         "faixa_preco", price_band(F.col("preco"), bands)
     )
     return featured.select(*OBT.fieldNames())
@@ -139,9 +143,18 @@ def mart(
     min_listings: int = MIN_LISTINGS,
     bands: Sequence[Band] = MART_BANDS,
 ) -> DataFrame:
-    """Statistics per group and month, with the change of the median price per m².
+    """Statistics per group and month, with the change of the median price per m²."""
+    return with_change(mart_stats(listings, by, min_listings, bands), lag_by or by)
+
+
+def mart_stats(
+    listings: DataFrame,
+    by: Sequence[str],
+    min_listings: int = MIN_LISTINGS,
+    bands: Sequence[Band] = MART_BANDS,
+) -> DataFrame:
+    """Statistics per group and month, each from that month's listings alone.
 
-    "The month before" is the last month in which the group had enough listings.
     Medians are single precision, as the prices are; means are double.
     """
     keys = ["date_ref", *by]
@@ -164,23 +177,28 @@ def mart(
     kept = merge_groups(keys, stats, middle).where(F.col("qtd_imoveis") > min_listings)
     for name in ("preco_mediano", "preco_m2_mediano"):
         kept = kept.withColumn(name, round_half_away(F.col(name).cast("float")).cast("float"))
-    changed = kept.withColumn(
-        "variacao_m2_pct", change_or_zero("preco_m2_mediano", lag_by or by)
-    )
-    return changed.select(
+    return kept.select(
         *keys,
         "qtd_imoveis",
         *[f"faixa_{band.label}" for band in bands],
         "preco_medio", "preco_m2_medio", "preco_mediano", "preco_m2_mediano",
-        "variacao_m2_pct",
     )
 
 
+def with_change(stats: DataFrame, lag_by: Sequence[str]) -> DataFrame:
+    """The change of the median price per m² since the month before, which is the last one in which
+    the group had enough listings."""
+    return stats.withColumn("variacao_m2_pct", change_or_zero("preco_m2_mediano", lag_by))
+
+
+#: Group keys of the two marts, and the keys within which they compare months.
+BY_TIPO = (["tipo"], ["tipo"])
+BY_LOCALIZACAO = (["localizacao", "secretaria_regional"], ["localizacao"])
+
+
 def mart_tipo(listings: DataFrame, **options) -> DataFrame:
-    return mart(listings, ["tipo"], **options)
+    return mart(listings, *BY_TIPO, **options)
 
 
 def mart_localizacao(listings: DataFrame, **options) -> DataFrame:
-    return mart(
-        listings, ["localizacao", "secretaria_regional"], lag_by=["localizacao"], **options
-    )
+    return mart(listings, *BY_LOCALIZACAO, **options)

@@ -1,8 +1,10 @@
 """Build the warehouse as tables.
 
-Silver is partitioned by month and bucketed by identity.  Months are replaced one at a
-time, and the cross-month dedup reads the buckets without a shuffle.  Every layer is
-written before the next one reads it, so a lost executor costs one layer's tasks.
+Silver and the enriched table are partitioned by month and bucketed by identity.  Months are
+replaced one at a time, and the cross-month dedup reads the buckets without a shuffle.  Loading a
+month touches only the identities in it: their rows are decided anew, and only the months in which
+one comes or goes are written again.  Every layer is written before the next one reads it, so a
+lost executor costs one layer's tasks.
 """
 
 from __future__ import annotations
@@ -12,8 +14,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casario.operators import not_null, plausible, unique
-from casario.plans.layers import bronze, dedup_month, has_identity, mart_localizacao, mart_tipo, obt, silver, stamped, typed
+from casario.operators import keep_first, not_null, plausible, union_by_name, unique
+from casario.plans.layers import (
+    BY_LOCALIZACAO,
+    BY_TIPO,
+    bronze,
+    dedup_month,
+    enriched,
+    has_identity,
+    mart_localizacao,
+    mart_stats,
+    mart_tipo,
+    obt,
+    silver,
+    stamped,
+    typed,
+    with_change,
+)
 from casario.schema import SILVER
 from casario.sources import replace_partition, save_table
 
@@ -79,7 +96,7 @@ def build_warehouse(
             stamped(cleaned), names.silver_db, names.silver, ["date_ref"], (n, "id")
         )
     }
-    return rows | build_gold(spark, names, dim)
+    return rows | build_gold(spark, names, dim, n)
 
 
 def load_month(
@@ -89,11 +106,11 @@ def load_month(
     buckets: int | None = None,
     dim: DataFrame | None = None,
 ) -> dict[str, int]:
-    """Add or replace one month, then rebuild gold.
+    """Add or replace one month, and bring gold up to date; rows written per table.
 
     Within a month the identity alone is the key, so the dedup's shuffle already has
-    the layout of the buckets when their number is that of the shuffle partitions.  Gold is
-    rebuilt from all months: a new month can change which month's row of an identity counts.
+    the layout of the buckets when their number is that of the shuffle partitions.  `dim` must be
+    the dimension that gold was built with; to change it, build gold again.
     """
     spark = raw.sparkSession
     n = _buckets(spark, buckets)
@@ -108,21 +125,91 @@ def load_month(
         written = save_table(
             stamped(month), names.silver_db, names.silver, ["date_ref"], (n, "id")
         )
-    return {"silver": written} | build_gold(spark, names, dim)
+    made = [f"{names.gold_db}.{name}" for name in (names.obt, names.mart_tipo, names.mart_localizacao)]
+    if all(map(spark.catalog.tableExists, made)):
+        return {"silver": written} | update_gold(spark, date_ref, names, dim)
+    return {"silver": written} | build_gold(spark, names, dim, n)
 
 
 def build_gold(
-    spark: SparkSession, names: Names = Names(), dim: DataFrame | None = None
+    spark: SparkSession, names: Names = Names(), dim: DataFrame | None = None, buckets: int | None = None
 ) -> dict[str, int]:
     """Rebuild the enriched table and the marts from the silver table."""
     listings = spark.table(f"{names.silver_db}.{names.silver}")
-    rows = {"obt": save_table(stamped(obt(listings, dim)), names.gold_db, names.obt)}
+    layout = ["date_ref"], (_buckets(spark, buckets), "id")
+    rows = {"obt": save_table(stamped(obt(listings, dim)), names.gold_db, names.obt, *layout)}
     gold = spark.table(f"{names.gold_db}.{names.obt}")
     for name, build in ((names.mart_tipo, mart_tipo), (names.mart_localizacao, mart_localizacao)):
         rows[name] = save_table(stamped(build(gold)), names.gold_db, name)
     return rows
 
 
+def _with_identity(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join by identity, in which NULL is one.  The buckets serve all others."""
+    named, nameless = F.col("id").isNotNull(), F.col("id").isNull()
+    one = ids.select(F.col("id").alias("_id"))
+    return rows.where(named).join(ids.select("id").where(named), "id", how).unionByName(
+        rows.where(nameless).join(one.where("_id is null"), F.col("id").eqNullSafe(F.col("_id")), how)
+    )
+
+
+def decided(spark: SparkSession, date_ref: str, names: Names = Names(), dim: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows that enter the enriched table after a month of silver was replaced, and the
+    (id, date_ref) that leave it from other months.
+
+    Identities of the month compete with their row in gold, of which three columns are read; those
+    whose row in gold is of this month also with their other months in silver, which are only
+    read if there are such.
+    """
+    listings, gold = spark.table(f"{names.silver_db}.{names.silver}"), spark.table(f"{names.gold_db}.{names.obt}")
+    here = F.col("date_ref").eqNullSafe(F.lit(date_ref))
+    month = listings.where(here).select(*SILVER.fieldNames())
+    standing = _with_identity(gold.where(~here).select("id", "preco", "date_ref"), month, "left_semi")
+    rivals = [month.withColumn("stands", F.lit(False)), standing.withColumn("stands", F.lit(True))]
+    was_here = gold.where(here).select("id")
+    if not was_here.isEmpty():
+        others = _with_identity(listings.where(~here).select(*SILVER.fieldNames()), was_here, "left_semi")
+        rivals.append(others.withColumn("stands", F.lit(False)))
+    # An identity has one row a month at most, so price and month decide.
+    best = keep_first(union_by_name(rivals), ["id"], [F.col("preco").desc(), F.col("date_ref").asc_nulls_last()])
+    entering = enriched(best.where(~F.col("stands")).drop("stands"), dim)
+    return entering, _with_identity(standing.select("id", "date_ref"), entering, "left_semi")
+
+
+def update_gold(
+    spark: SparkSession, date_ref: str, names: Names = Names(), dim: DataFrame | None = None
+) -> dict[str, int]:
+    """Bring gold up to date after a month of silver was replaced.
+
+    Months in which no row comes or goes keep their files.  The marts compute the statistics of
+    the others anew, and the change from month to month over their own rows.  After a failure the
+    same call can be repeated.
+    """
+    entering, leaving = decided(spark, date_ref, names, dim)
+    coming, staged = f"{names.obt}__coming", f"{names.obt}__staged"
+    save_table(stamped(entering), names.gold_db, coming)
+    entering = spark.table(f"{names.gold_db}.{coming}")
+    moved = entering.select("date_ref").unionByName(leaving.select("date_ref")).distinct()
+    months = sorted({date_ref, *(row.date_ref for row in moved.collect())})
+    gold = spark.table(f"{names.gold_db}.{names.obt}")
+    rest = gold.where(F.col("date_ref").isin(months) & (F.col("date_ref") != date_ref))
+    fresh = _with_identity(rest, entering, "left_anti").unionByName(entering)
+    save_table(fresh, names.gold_db, staged, ["date_ref"])
+    rows = {"obt": 0}
+    for month in months:
+        of_month = spark.table(f"{names.gold_db}.{staged}").where(F.col("date_ref") == month)
+        rows["obt"] += replace_partition(of_month, names.gold_db, names.obt, "date_ref", month)
+    gold = spark.table(f"{names.gold_db}.{names.obt}").where(F.col("date_ref").isin(months))
+    for name, (by, lag_by) in ((names.mart_tipo, BY_TIPO), (names.mart_localizacao, BY_LOCALIZACAO)):
+        stats = mart_stats(gold, by)
+        kept = spark.table(f"{names.gold_db}.{name}").where(~F.col("date_ref").isin(months))
+        whole = with_change(kept.select(*stats.columns).unionByName(stats), lag_by)
+        rows[name] = save_table(stamped(whole), names.gold_db, name)
+    for name in (coming, staged):
+        spark.sql(f"DROP TABLE {names.gold_db}.{name}")
+    return rows
+
+
 def check_warehouse(spark: SparkSession, names: Names = Names()) -> DataFrame:
     """Violations of the identity checks: per month in silver, overall in gold."""
     listings = spark.table(f"{names.silver_db}.{names.silver}")

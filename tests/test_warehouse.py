@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import json
+import random
+import re
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from casario.plans import layers
-from casario.plans.warehouse import Names, build_warehouse, check_warehouse, load_month
+from casario.plans.warehouse import Names, build_warehouse, check_warehouse, decided, load_month
 from casario.sources import folder_table, query_data, read_listings, save_table, write_feed
 from helpers import LISTING, column, listings
 
@@ -144,7 +146,7 @@ def test_build(spark):
     assert spark.table("built_bronze_listings").count() == raw.count()
     silver_table = spark.table("built_silver.listings")
     assert as_set(silver_table.select(cleaned.columns)) == as_set(cleaned)
-    assert as_set(spark.table("built_gold.obt")) == as_set(gold)
+    assert as_set(spark.table("built_gold.obt").select(gold.columns)) == as_set(gold)
     assert as_set(spark.table("built_gold.mart_tipo")) == as_set(layers.mart_tipo(gold))
     assert as_set(spark.table("built_gold.mart_localizacao")) == as_set(layers.mart_localizacao(gold))
     for table in ("built_silver.listings", "built_gold.obt", "built_gold.mart_tipo"):
@@ -186,3 +188,58 @@ def test_gold_reads_silver_buckets_without_a_shuffle(spark):
         spark.table("bucketed_silver.listings").select(*layers.SILVER.fieldNames())
     )._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "WindowGroupLimit" in plan
+
+
+def files_by_month(spark, table):
+    found = {}
+    for path in spark.table(table).inputFiles():
+        found.setdefault(path.split("date_ref=")[1].split("/")[0], set()).add(path)
+    return found
+
+
+def test_a_month_touches_only_the_months_of_its_identities(spark):
+    raw, names = three_months(spark), Names(db="partial")
+    for month in MONTHS:
+        load_month(raw, month, names)
+    before = files_by_month(spark, "partial_gold.obt")
+    # Ten listings of April were listed again in May; June has only its own.
+    load_month(raw, "2025-06", names)
+    after = files_by_month(spark, "partial_gold.obt")
+    assert before["2025-04"] == after["2025-04"] and before["2025-05"] == after["2025-05"]
+    assert before["2025-06"].isdisjoint(after["2025-06"])
+    load_month(raw.where("date_ref <> '2025-04'"), "2025-04", names)
+    last = files_by_month(spark, "partial_gold.obt")
+    assert last["2025-06"] == after["2025-06"] and last["2025-05"] != after["2025-05"] and "2025-04" not in last
+    assert not any("__" in t.name for t in spark.catalog.listTables("partial_gold"))
+
+
+def test_gold_update_reads_three_columns_of_other_months(spark):
+    load_month(three_months(spark), "2025-05", Names(db="narrow"))
+    load_month(three_months(spark), "2025-06", Names(db="narrow"))
+    entering, _ = decided(spark, "2025-07", Names(db="narrow"))
+    text = entering._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"FileScan parquet [\w.]*narrow_gold.obt\[(.*?)\]", text)
+    assert scans and all({c.split("#")[0] for c in scan.split(",")} <= {"id", "preco", "date_ref"} for scan in scans)
+    # No identity's row was of the new month, so silver is read for that month only.
+    silver_scans = re.findall(r"FileScan parquet [\w.]*narrow_silver.listings.*?PartitionFilters: \[(.*?)\]", text)
+    assert silver_scans and all("<=> 2025-07" in filters and "NOT" not in filters for filters in silver_scans)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_order_of_loads_gives_the_tables_of_a_full_build(spark, seed):
+    dice = random.Random(seed)
+    names, state = Names(db=f"any{seed}"), {}
+    for _ in range(5):
+        month = dice.choice(MONTHS)
+        rows = []
+        for _ in range(dice.randrange(60, 110) if dice.random() < 0.85 else 0):
+            price = dice.choice(["R$ 200.000", "R$ 300.000", "R$ 6.000.000"]) if dice.random() < 0.9 else None
+            rows.append({"date_ref": month, "localizacao": dice.choice(["Aldeota, F", "Centro", None]), "preco": price,
+                         "area": str(dice.randrange(40, 48)), "tipo": "Casa"})
+        state[month] = rows
+        load_month(listings(spark, *rows) if rows else listings(spark, {}).limit(0), month, names)
+    raw = listings(spark, *(row for rows in state.values() for row in rows))
+    build_warehouse(raw, Names(db=f"full{seed}"))
+    for table in ("silver.listings", "gold.obt", "gold.mart_tipo", "gold.mart_localizacao"):
+        full, stepwise = spark.table(f"full{seed}_{table}"), spark.table(f"any{seed}_{table}")
+        assert as_set(stepwise.select(sorted(full.columns))) == as_set(full.select(sorted(full.columns))), table
