@@ -8,7 +8,12 @@ label has a freedom between 0 and 1, `or` takes the larger, `and` the smaller, `
 exception) moves its licence half way to 1; of several statements the strictest counts, and
 a text without any has 0.
 
-A null text is an empty one.  An expression that does not parse counts as the labels in it.
+An expression ends before what is no identifier: one is listed here, or has a digit or a dash, so
+that prose after a tag adds no label.  One that does not parse counts as the listed labels in it.
+
+A null text is an empty one, without labels.  Texts are read whole, however long; phrases that
+overlap all count; repeated rows are judged alike; an empty table gives no rows.  Only `doc_id` and
+`text` are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -33,6 +38,9 @@ BASE = {
 PHRASES = {
     "gnu lesser general public license": "lgpl",
     "gnu affero general public license": "agpl",
+    "gnu lgpl": "lgpl",
+    "gnu agpl": "agpl",
+    "gnu gpl": "gpl",
     "mozilla public license": "mpl",
     "eclipse public license": "epl",
     "cc by sa": "cc-by-sa",
@@ -43,6 +51,13 @@ PHRASES = {
     "apache license version 2 0": "apache-2.0",
     "gnu general public license version 2": "gpl-2.0",
     "gnu general public license version 3": "gpl-3.0",
+    "licensed under the apache license": "apache",
+    "licensed under the mit license": "mit",
+    "released into the public domain": "unlicense",
+    "bsd 2 clause license": "bsd",
+    "bsd 3 clause license": "bsd",
+    "isc license": "isc",
+    "creative commons zero": "cc0",
     "redistribution and use in source and binary forms": "bsd",
     "permission is hereby granted free of charge": "mit",
     "permission to use copy modify and or distribute": "isc",
@@ -67,21 +82,32 @@ _TOKEN = re.compile(r"[()]|[A-Za-z0-9.+-]+")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
-def freedom(label: str) -> float:
-    """Of the longest listed label that the identifier begins with."""
+def listed(label: str) -> str | None:
+    """The longest listed label that the identifier begins with."""
     name = label.lower().rstrip("+")
-    fits = [k for k in FREEDOM if name == k or name.startswith(k + "-")]
-    return FREEDOM[max(fits, key=len)] if fits else UNKNOWN
+    return max((k for k in FREEDOM if name == k or name.startswith(k + "-")), key=len, default=None)
+
+
+def freedom(label: str) -> float:
+    known = listed(label)
+    return UNKNOWN if known is None else FREEDOM[known]
+
+
+def is_identifier(token: str) -> bool:
+    return token.lower() not in _PRECEDENCE and bool(listed(token) or re.search("[A-Za-z]", token) and re.search("[0-9-]", token.strip("-.")))
 
 
 def postfix(expression: str) -> list[str] | None:
     """Shunting yard: identifiers and operators in evaluation order; None if malformed."""
     out, held, operand = [], [], False
-    for token in _TOKEN.findall(expression):
+    tokens = _TOKEN.findall(expression)
+    for token, following in zip(tokens, [*tokens[1:], ""]):
         low = token.lower()
         if low in _PRECEDENCE:
             if not operand:
                 return None
+            if following != "(" and not is_identifier(following):
+                break  # prose that begins with one of these words
             while held and held[-1] != "(" and _PRECEDENCE[held[-1]] >= _PRECEDENCE[low]:
                 out.append(held.pop())
             held.append(low)
@@ -101,6 +127,8 @@ def postfix(expression: str) -> list[str] | None:
         else:
             if operand:
                 break  # prose after the expression
+            if not is_identifier(token):
+                return None
             out.append(low)
             operand = True
     if not operand or "(" in held:
@@ -112,8 +140,7 @@ def evaluate(expression: str) -> tuple[set[str], float | None]:
     """Licence identifiers of an expression and its freedom."""
     steps = postfix(expression)
     if steps is None:
-        ids = {t.lower() for t in _TOKEN.findall(expression)} - {"(", ")", *_PRECEDENCE}
-        ids = {i for i in ids if freedom(i) != UNKNOWN}
+        ids = {t.lower() for t in _TOKEN.findall(expression) if listed(t)}
         return ids, min(map(freedom, ids), default=None)
     labels, stack = set(), []
     for step in steps:
