@@ -7,7 +7,10 @@ scope and cut at blank lines; an interval join (a sweep over sorted starts) tell
 complementary parts share a scope.  A weak identifier is reported only with a secret, a
 weak secret only with an identifier or an endpoint, and an endpoint only with both.
 
-A null text is an empty one.  Weak spans that touch a pattern's span are dropped.
+A null text is an empty one, without spans.  Weak spans that touch a pattern's span are dropped, and
+no part confirms one of the same span.  Texts are read whole, in a time that grows with their length
+and the logarithm of their parts; repeated rows get equal findings; an empty table gives no rows.
+Only `doc_id` and `text` are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -79,6 +82,23 @@ def weak_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+class Parts:
+    """The intervals of one role by paragraph, sorted by start, with the two largest ends so far."""
+
+    def __init__(self, spans: set[tuple[int, int, int]]):
+        self.starts, self.ends = {}, {}
+        for paragraph, a, b in sorted(spans):
+            starts, ends = self.starts.setdefault(paragraph, []), self.ends.setdefault(paragraph, [])
+            before = ends[-1] if ends else []
+            starts.append(a)
+            ends.append(sorted([*before, (b, a)], reverse=True)[:2])
+
+    def touch(self, paragraph: int, a: int, b: int) -> bool:
+        """Does a part other than [a, b) overlap its scope, in the same paragraph?"""
+        k = bisect_left(self.starts.get(paragraph, []), b + REACH)
+        return k > 0 and any(y > a - REACH and (x, y) != (a, b) for y, x in self.ends[paragraph][k - 1])
+
+
 def linked(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """The weak spans that complementary parts in their scope confirm."""
     taken = bytearray(len(text) if base else 0)
@@ -88,19 +108,10 @@ def linked(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int,
     if not weak:
         return []
     borders = [m.start() for m in _SCOPE_END.finditer(text)]
-    parts = {role: sorted((a, b) for k, a, b in base + weak if ROLE[k] == role) for role in set(ROLE.values())}
-    longest = max(b - a for _, a, b in base + weak)
+    parts = {role: Parts({(bisect_left(borders, a), a, b) for k, a, b in base + weak if ROLE[k] == role}) for role in set(ROLE.values())}
 
     def near(role: str, a: int, b: int) -> bool:
-        """Does a part of this role overlap the scope of [a, b), in the same paragraph?"""
-        paragraph, found = bisect_left(borders, a), parts[role]
-        k = bisect_left(found, (a - REACH - longest, 0))
-        while k < len(found) and found[k][0] < b + REACH:
-            x, y = found[k]
-            if y > a - REACH and (x, y) != (a, b) and bisect_left(borders, x) == paragraph:
-                return True
-            k += 1
-        return False
+        return parts[role].touch(bisect_left(borders, a), a, b)
 
     needs = {
         "id": lambda a, b: near("secret", a, b),

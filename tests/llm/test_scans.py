@@ -218,3 +218,100 @@ def test_quality_method_decides_where_the_base_rule_does_not(spark):
     assert not any(r.base_failed for r in got.values())
     assert {k: r.kept for k, r in got.items()} == {1: False, 2: False, 3: True}
     assert {r.doc_id for r in quality.keep_good(frame(spark, rows)).collect()} == {3}
+
+
+def licence_brute(tokens):
+    """Labels and freedom by recursive descent: or below and below with, each from the left."""
+    at = 0
+
+    def level(operators, below):
+        nonlocal at
+        labels, value = below()
+        while at < len(tokens) and tokens[at] in operators:
+            operator, at = tokens[at], at + 1
+            more, other = below()
+            if operator == "with":
+                labels, value = labels - more | labels, (value + 1) / 2
+            else:
+                labels, value = labels | more, max(value, other) if operator == "or" else min(value, other)
+        return labels, value
+
+    def one():
+        nonlocal at
+        token, at = tokens[at], at + 1
+        if token != "(":
+            return {token}, licenses.freedom(token)
+        inner, at = level({"or"}, lambda: level({"and"}, lambda: level({"with"}, one))), at + 1
+        return inner
+
+    return level({"or"}, lambda: level({"and"}, lambda: level({"with"}, one)))
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_expressions_against_recursive_descent(seed):
+    dice = random.Random(seed)
+    names = ["mit", "gpl-2.0", "agpl-3.0", "apache-2.0", "x-1", "cc0-1.0", "bsd-3-clause"]
+
+    def made(depth):
+        if depth == 0 or dice.random() < 0.3:
+            name = [dice.choice(names)]
+            return [*name, "with", f"exception-{dice.randrange(9)}"] if dice.random() < 0.2 else name
+        left, right = made(depth - 1), made(depth - 1)
+        whole = [*left, dice.choice(["or", "and"]), *right]
+        return ["(", *whole, ")"] if dice.random() < 0.5 else whole
+
+    tokens = made(4)
+    labels, value = licenses.evaluate(" ".join(tokens).replace("( ", "(").replace(" )", ")").upper())
+    want, freedom = licence_brute(tokens)
+    assert labels == {x for x in want if not x.startswith("exception-")} and value == pytest.approx(freedom)
+
+
+@pytest.mark.parametrize(
+    "line, labels, score",
+    [
+        ("GPL-2.0 or later version of it", {"gpl-2.0"}, 0.4),
+        ("MIT and see the notice", {"mit"}, 0.9),
+        ("(AGPL-3.0 OR", {"agpl-3.0"}, 0.3),
+        ("see the file COPYING", set(), None),
+        ("LicenseRef-own AND MIT with thanks", {"licenseref-own", "mit"}, 0.3),
+        ("MIT OR", {"mit"}, 0.9),
+    ],
+)
+def test_prose_after_a_tag_is_no_label(line, labels, score):
+    assert licenses.evaluate(line) == (labels, score)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_linking_against_all_pairs(seed):
+    dice = random.Random(seed)
+    pieces = ["AB12CD34EF56GH78", "aB3dE5fG7hJ9kL1mN2pQ4rS6t", "https://api.example.org/v1", "password=hunter2secret", "0123456789abcdef" * 2]
+    text = ""
+    for _ in range(dice.randrange(2, 14)):
+        text += dice.choice(pieces) + dice.choice([" ", "\n", "\n\n", " " + "x y " * dice.randrange(90), " " + "0a" * dice.randrange(12, 300) + " "])
+    base = credentials.pattern_spans(text)
+    taken = {p for _, a, b in base for p in range(a, b)}
+    weak = [s for s in credentials.weak_spans(text) if not taken & set(range(s[1], s[2]))]
+    ends = [m.start() for m in re.finditer(r"\n[ \t\r]*\n", text)]
+    paragraph = lambda a: sum(e < a for e in ends)
+
+    def near(role, a, b):
+        return any(
+            credentials.ROLE[k] == role and (x, y) != (a, b) and x < b + credentials.REACH and y > a - credentials.REACH and paragraph(x) == paragraph(a)
+            for k, x, y in base + weak
+        )
+
+    want = []
+    for k, a, b in weak:
+        id_, key, end = (near(role, a, b) for role in ("identifier", "secret", "endpoint"))
+        if {"id": key, "key": id_ or end, "endpoint": id_ and key}[k]:
+            want.append((k, a, b))
+    assert credentials.linked(text, base) == want
+
+
+def test_linking_many_parts_is_fast():
+    import time
+
+    text = "\n\n" + "0a" * 200_000 + "\n\n" + " ".join(f"AB12CD34EF56{k:04d}" for k in range(4000))
+    start = time.perf_counter()
+    assert credentials.linked(text, credentials.pattern_spans(text)) == []
+    assert time.perf_counter() - start < 2
