@@ -5,7 +5,6 @@ from casario.operators.dedup import keep_first, total_order, union_by_name
 from casario.operators.distribution import (
     histogram,
     mean,
-    measured,
     medians,
     merge_groups,
     quantiles,
@@ -19,7 +18,7 @@ from casario.operators.quality import not_null, unique
 
 __all__ = [
     "change_or_zero", "enrich_location", "filter_listings", "histogram", "keep_first",
-    "mean", "measured", "medians", "merge_groups", "neighbourhoods", "not_null",
+    "mean", "medians", "merge_groups", "neighbourhoods", "not_null",
     "plausible", "previous", "quantiles", "region_case", "series_change", "shares",
     "sum_by", "total_order", "union_by_name", "unique", "value_counts",
 ]

@@ -27,18 +27,21 @@ _LARGEST_FLOAT = 3.4028234e38
 def value_counts(
     df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]
 ) -> DataFrame:
-    """How often each value of each measure occurs per group.
+    """How often each combination of the measures' values occurs per group.
 
-    One row per group, measure and distinct value: keys, `measure`, `value`, `n`.
+    One row per group and combination: keys, a column per measure, `n`.  All statistics of a group
+    follow from these rows; they are fewer than the listings, and shuffled once.
     """
+    values = [column.cast("float").alias(name) for name, column in measures.items()]
+    return df.select(*keys, *values).groupBy(*keys, *measures).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _by_measure(counts: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """A row per measure of each row of `value_counts`: keys, `measure`, `value`, `n`."""
     if len(measures) == 1:
-        [(name, column)] = measures.items()
-        long = df.select(*keys, F.lit(name).alias("measure"), column.cast("float").alias("value"))
-    else:
-        cells = [cell for name, column in measures.items()
-                 for cell in (F.lit(name), column.cast("float"))]
-        long = df.select(*keys, F.stack(F.lit(len(measures)), *cells).alias("measure", "value"))
-    return long.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
+        return counts.select(*keys, F.lit(measures[0]).alias("measure"), F.col(measures[0]).alias("value"), "n")
+    cells = [cell for name in measures for cell in (F.lit(name), F.col(name))]
+    return counts.select(*keys, "n", F.stack(F.lit(len(measures)), *cells).alias("measure", "value"))
 
 
 def _bin(value: Column) -> Column:
@@ -66,7 +69,8 @@ def quantiles(
 
     # Rows without a value weigh nothing instead of being filtered out: a filter would
     # be pushed below the value counts and cost a second pass over the listings.
-    weighed = counts.withColumn(
+    long = _by_measure(counts, keys, sorted({measure for measure, _ in wanted.values()}))
+    weighed = long.withColumn(
         "n", F.when(_usable(F.col("value")), F.col("n")).otherwise(F.lit(0))
     ).withColumn("bin", _bin(F.col("value")))
 
@@ -99,7 +103,8 @@ def quantiles(
     inside = weighed.join(hit.hint("shuffle_hash"), same_bin).select(
         *group, "bin", "value", "n", "before", "total"
     )
-    rising_inside = Window.partitionBy(*group, "bin").orderBy("value")
+    # A value can be in several rows; each has ranks of its own.
+    rising_inside = Window.partitionBy(*group, "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = inside.withColumn(
         "upto", F.col("before") + F.sum("n").over(rising_inside)
     ).withColumn("before", F.col("upto") - F.col("n"))
@@ -132,15 +137,11 @@ def merge_groups(keys: Sequence[str], *frames: DataFrame) -> DataFrame:
     )
 
 
-def measured(measure: str, value: Column) -> Column:
-    """`value` on the rows of one measure, NULL elsewhere."""
-    return F.when((F.col("measure") == measure) & F.col("value").isNotNull(), value)
-
-
 def mean(measure: str) -> Column:
     """Mean of a measure over the rows of `value_counts`."""
-    total = F.sum(measured(measure, F.col("value").cast("double") * F.col("n")))
-    return F.try_divide(total, F.sum(measured(measure, F.col("n"))))
+    value = F.col(measure)
+    total = F.sum(value.cast("double") * F.col("n"))
+    return F.try_divide(total, F.sum(F.when(value.isNotNull(), F.col("n"))))
 
 
 def medians(

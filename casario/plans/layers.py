@@ -29,7 +29,6 @@ from casario.operators import (
     enrich_location,
     keep_first,
     mean,
-    measured,
     merge_groups,
     plausible,
     quantiles,
@@ -163,11 +162,9 @@ def mart_stats(
         keys,
         {"preco": F.col("preco"), "m2": price_per_m2(F.col("preco"), F.col("area"))},
     )
-    of_price: Column = measured("preco", F.col("value"))
-    all_rows = F.sum(F.when(F.col("measure") == "preco", F.col("n")))
     stats = counts.groupBy(*keys).agg(
-        all_rows.alias("qtd_imoveis"),
-        *band_counts(of_price, bands, weight=F.col("n")),
+        F.sum("n").alias("qtd_imoveis"),
+        *band_counts(F.col("preco"), bands, weight=F.col("n")),
         round_half_away(mean("preco")).alias("preco_medio"),
         round_half_away(mean("m2")).alias("preco_m2_medio"),
     )

@@ -19,7 +19,6 @@ from casario.functions import (
 from casario.operators import (
     histogram,
     mean,
-    measured,
     medians,
     merge_groups,
     quantiles,
@@ -171,12 +170,13 @@ def band_leaders(mart: DataFrame, bands: int = len(MART_BANDS)) -> DataFrame:
 def describe_price(df: DataFrame, column: str = "preco") -> DataFrame:
     """Seven labelled measures of a column, one row each."""
     counts = value_counts(df, [], {column: F.col(column)})
-    value = F.col("value").cast("double")
+    value = F.col(column).cast("double")
+    known = F.sum(F.when(value.isNotNull(), F.col("n")))
     centre = counts.agg(mean(column)).scalar()
-    spread = F.sum(measured(column, F.col("n") * (value - centre) * (value - centre)))
+    spread = F.sum(F.col("n") * (value - centre) * (value - centre))
     basic = counts.agg(
         mean(column).alias("m0"),
-        F.sqrt(F.try_divide(spread, F.sum(measured(column, F.col("n"))) - 1)).alias("m1"),
+        F.sqrt(F.try_divide(spread, known - 1)).alias("m1"),
         F.min(value).alias("m5"),
         F.max(value).alias("m6"),
     )

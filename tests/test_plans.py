@@ -71,6 +71,15 @@ def test_mart_reads_its_input_once(spark, whole_plan):
     assert "ObjectHashAggregate" not in text
 
 
+def test_mart_shuffles_its_listings_once_and_unstacked(spark, tmp_path, whole_plan):
+    inputs.gold_listings(spark, SF).write.parquet(str(tmp_path / "gold"))
+    text = whole_plan(layers.mart_tipo(spark.read.parquet(str(tmp_path / "gold"))))
+    # The first exchange has a row per listing at most; the measures are parted after it.
+    first = text[: text.rindex("FileScan parquet")]
+    below = first[first.rindex("Exchange hashpartitioning") :]
+    assert "preco#" in below and "m2#" in below and "Generate" not in below and "partial_count" in below
+
+
 def test_description_reads_its_input_once(spark, whole_plan):
     text = whole_plan(report.describe_price(inputs.gold_listings(spark, SF)))
     assert text.count("FileScan parquet [l_orderkey") == 1
