@@ -149,24 +149,25 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def links(sketched: DataFrame, docs: DataFrame) -> DataFrame:
+def links(sketched: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(doc, component) of the representatives that are linked to another one.
 
-    `sketched` has (doc, n, sketch, print, doc_id), a row per representative, whose number `doc` is;
-    `docs` has (doc_id, text).
+    `sketched` has (doc, n, sketch), a row per representative, whose number `doc` is; `classes` has
+    (doc, of_print, least_id) of them, with an id of that print; `docs` has (doc_id, text).
     """
     postings = sketched.select(F.explode("sketch").alias("value"), "doc", "n")
     retained = F.least(F.col("n"), F.lit(K))
     coarse = rare_lists(postings, retained, needed(F.col("n")))
     met = coarse.groupBy("value").agg(F.count("*").alias("m")).filter("m > 1").select("value")
     left = coarse.join(met, "value", "left_semi").select("doc").distinct()
-    left = written(sketched.select("doc", F.col("print").alias("of_print"), "doc_id").join(left, "doc", "left_semi"))
+    left = written(classes.join(left, "doc", "left_semi"))
 
     # An id may have several texts; the print tells which of them is the representative's.
-    ids = left.select(F.col("doc_id").alias("id")).distinct()
+    ids = left.select(F.col("least_id").alias("id")).distinct()
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["id"]), "left_semi").select(F.col("text").cast("binary").alias("text"))
     made = texts.select(struct_udf(_full_sets, "print binary, values array<long>")("text").alias("s")).select("s.*")
-    sets = made.join(left, made["print"] == left["of_print"]).select("doc", "values")
+    # Null-safe, as a test for null would bring the function below the join before, to all rows.
+    sets = made.join(left, made["print"].eqNullSafe(left["of_print"])).select("doc", "values")
     sets = written(sets.dropDuplicates(["doc"]))
     full = sets.select(F.explode("values").alias("value"), "doc", F.size("values").cast("long").alias("n"))
     lists = written(rare_lists(full, F.col("n"), F.ceil(F.col("n") * PERCENT / 100)))
@@ -205,9 +206,9 @@ def grouped(docs: DataFrame) -> DataFrame:
     least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("least")
     classes = written(made.filter("n_shingles > 0").groupBy("print").agg(least, F.min("row").alias("doc"), F.count("*").alias("n")))
     of_class = classes.select(F.col("print").alias("of_print"), "doc", F.col("least.doc_id").alias("least_id"))
-    chosen = made.join(of_class, (made["print"] == of_class["of_print"]) & (made["row"] == of_class["doc"]))
-    sketched = chosen.select("doc", F.col("n_shingles").alias("n"), "sketch", "print", F.col("least_id").alias("doc_id"))
-    linked = written(classes.join(links(sketched, rows), "doc", "left").select("print", "n", "least", F.coalesce("component", "doc").alias("component")))
+    chosen = made.join(of_class.select("doc"), made["row"] == F.col("doc"), "left_semi")
+    sketched = chosen.select(F.col("row").alias("doc"), F.col("n_shingles").alias("n"), "sketch")
+    linked = written(classes.join(links(sketched, of_class, rows), "doc", "left").select("print", "n", "least", F.coalesce("component", "doc").alias("component")))
     best = written(linked.groupBy("component").agg(F.min("least").alias("best"), F.count("*").alias("classes")))
     named = dealt_join(linked, best, ["component"], "classes", F.xxhash64("print"))
     named = written(named.select("print", "n", F.col("best.doc_id").alias("component_id"), F.col("best.row").alias("first")))
@@ -235,8 +236,8 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     if several.isEmpty():
         return out
     # Rows that share an id are told apart by their prints.
-    texts = packed(docs, in_id=F.col("doc_id"), print=struct_udf(_prints, "print binary")(F.col("text").cast("binary"))["print"])
-    texts = texts.join(several, F.col("in_id").eqNullSafe(F.col("id")), "left_semi")
+    mine = docs.join(several, docs["doc_id"].eqNullSafe(several["id"]), "left_semi")
+    texts = written(packed(mine, in_id=F.col("doc_id"), print=struct_udf(_prints, "print binary")(F.col("text").cast("binary"))["print"]))
     chosen = verdict.filter("stays and print is not null").select(F.col("doc_id").alias("id"), F.col("print").alias("of_print"))
     wanted = texts.join(chosen, F.col("in_id").eqNullSafe(F.col("id")) & (F.col("print") == F.col("of_print")), "left_semi")
     again = wanted.dropDuplicates(["in_id", "print"]).unionByName(texts.filter("print is null"))
