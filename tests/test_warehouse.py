@@ -54,6 +54,41 @@ def test_malformed_feed_fails(spark, tmp_path):
         read_listings(spark, str(tmp_path), "2025-04", layout="array").collect()
 
 
+ODD = ['a"b', "x}{][,", "\\", "é\n\t", "", "  ]  ", '}, {"preco": "1"}', None]
+MANY = [
+    {**RECORD, "preco": f"R$ {k}", "localizacao": ODD[k % len(ODD)], "extra": {"n": [1, {"z": "}"}]}} for k in range(60)
+]
+
+
+@pytest.mark.parametrize(
+    "text, records",
+    [
+        (json.dumps(MANY, indent=2, ensure_ascii=False), MANY),
+        (json.dumps(MANY, indent=0), MANY),
+        (json.dumps(MANY), MANY),
+        ("[\n" + ",\n".join(map(json.dumps, MANY)) + "\n]\n", MANY),
+        ("[\n" + "\n, ".join(json.dumps(r, indent=1) for r in MANY) + "\n\n]", MANY),
+        ("[ " + ",\n".join(json.dumps(MANY[k]) + " , " + json.dumps(MANY[k + 1], indent=1) for k in range(0, 60, 2)) + "]", MANY),
+        (json.dumps(MANY[3], indent=3), MANY[3:4]),
+        (json.dumps(MANY[2]), MANY[2:3]),
+        ("[]", []), ("[\n\n]\n", []), ("\n", []),
+    ],
+)
+def test_one_array_file_is_read_by_several_tasks(spark, tmp_path, text, records):
+    (tmp_path / "zap.json").write_text(text, encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        got = read_listings(spark, str(tmp_path), "2025-04", layout="array").collect()
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > (5 if len(records) > 1 else 0)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    fields = ("preco", "localizacao", "area")
+    assert sorted(str([r[f] for f in fields]) for r in got) == sorted(str([r[f] for f in fields]) for r in records)
+    assert {r.origem for r in got} <= {"ZAP Imóveis"}
+
+
 def test_line_layout_reads_arrays_and_plain_lines(spark, tmp_path):
     lines = [json.dumps({**RECORD, "area": str(i)}) for i in range(4)]
     (tmp_path / "zap.json").write_text("[\n" + ",\n".join(lines[:2]) + "\n]\n")
