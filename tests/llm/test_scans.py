@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -315,3 +316,58 @@ def test_linking_many_parts_is_fast():
     start = time.perf_counter()
     assert credentials.linked(text, credentials.pattern_spans(text)) == []
     assert time.perf_counter() - start < 2
+
+
+def all_cuts(text):
+    """Every way to cut a stretch into typed spans and outside atoms, as a list of (kind, first, last border)."""
+    borders, atoms = pii.cut(text, 0, len(text))
+
+    def upto(j):
+        if j == 0:
+            return [[]]
+        out = list(upto(j - 1))
+        for i in pii.spans_ending(borders, atoms, j):
+            out += [[*rest, (kind, borders[i], borders[j])] for rest in upto(i) for kind in pii.KINDS]
+        return out
+
+    return upto(len(borders) - 1)
+
+
+PIECES = ["call 555-0101 now", "a.b@c.de or x", "10.0.0.1 22 3333", "+1 555 010 2345", "no 4111 1111", "at [at] b 12"]
+
+
+@pytest.mark.parametrize("text", PIECES)
+@pytest.mark.parametrize("seed", range(3))
+def test_field_against_all_cuts(text, seed):
+    dice = random.Random(f"{seed}{text}")
+    cuts = all_cuts(text)
+    assert len(cuts) > 1 or "[at]" in text
+    names = sorted({f"{kind} {f}" for found in cuts for kind, a, b in found for f in pii.features(text, a, b)})
+    weights = {name: dice.uniform(-2, 2) for name in names}
+    counts = [Counter(f"{kind} {f}" for kind, a, b in found for f in pii.features(text, a, b)) for found in cuts]
+    scores = [sum(weights[f] * n for f, n in c.items()) for c in counts]
+    # The best cut (scores are distinct but for those without a span).
+    assert pii.decode(text, 0, len(text), weights) == cuts[max(range(len(cuts)), key=scores.__getitem__)]
+    # Observed counts of some cut less the expected ones.
+    total = sum(math.exp(s) for s in scores)
+    gold = set(dice.choice(cuts))
+    got = pii.Lattice(text, 0, len(text)).gradient(weights, gold)
+    for name in names:
+        observed = Counter(f"{kind} {f}" for kind, a, b in gold for f in pii.features(text, a, b))[name]
+        expected = sum(c[name] * math.exp(s) for c, s in zip(counts, scores)) / total
+        assert got.get(name, 0.0) == pytest.approx(observed - expected, abs=2e-3)
+
+
+def test_trained_field_on_awkward_rows(spark):
+    rows = awkward() + [(900 + k, f"mail a{k}@host{k}.org or call +1 (555) 010-{k:04}, card 4111 1111 1111 1111", "en", "s", 1) for k in range(60)]
+    got = pii.personal_data(clashing(frame(spark, rows))).collect()
+    assert len(got) == len(rows)
+    plain = {r.doc_id: r for r in got}
+    for k in range(60):
+        spans = plain[900 + k].spans.split(",")
+        assert any(s.startswith("email:") for s in spans) and any(s.startswith("card:") for s in spans)
+    for r in got:
+        ends = {}
+        for kind, a, b in (s.rsplit(":", 2) for s in r.spans.split(",") if s):
+            assert ends.get(kind, 0) <= int(a) < int(b)
+            ends[kind] = int(b)
