@@ -10,7 +10,9 @@ item text, so what an executor holds is bounded; several automata pass over the
 one after the other and their spans are united.
 
 A null or empty text has no words.  Items without words match nothing.  Rows of the
-benchmark with the same item_id are one item; a null item_id is named by the empty string.
+benchmark with the same item_id are one item; a null item_id is named by the empty string.  Texts are read whole, however
+long; repeated documents get equal rows; without documents there are no rows, without items no
+hits.  Columns not named here may have any name.
 """
 
 from __future__ import annotations

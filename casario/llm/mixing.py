@@ -15,7 +15,8 @@ exact at every sum of weights; the fold's time grows with W, in one task.
 A source that runs out leaves its slots empty; the others keep their proportions.  No row is
 dropped.  Null and empty source are one source; a null text has no bytes; rows of the same
 source and id stay together in one block.  A document longer than a block uses up the next
-blocks of its source too.  DataFrame functions only.
+blocks of its source too.  Documents with equal digests follow their ids; an empty table has no
+slots; extra columns of any name are kept.  DataFrame functions only.
 """
 
 from __future__ import annotations

@@ -13,8 +13,10 @@ and backward sums over all cuts), from a bounded sample: the islands of `TRAIN_D
 documents with the patterns' spans as labels, rewritten in other surface forms, plus plain
 numbers (dates, prices, versions, times) as counterexamples.
 
-A null text is an empty one.  Found spans that touch a pattern's span are dropped; the
-pattern's stays.
+A null text is an empty one, without spans.  Found spans that touch a pattern's span are dropped; the
+pattern's stays.  Of cuts with equal scores the one with fewer spans is taken.  Texts are read whole,
+however long; repeated rows get equal findings; an empty table, or one without a number to learn
+from, has the patterns only.  Other columns than `doc_id` and `text` may have any name.
 """
 
 from __future__ import annotations

@@ -6,7 +6,9 @@ only on what still has an equal.  A document without such a window has no repeat
 The others get a suffix array with its longest common prefixes; the intervals of these are
 the maximal repeated substrings, whose spans are united.
 
-Nulls, empty texts: no words, so too few of them: rejected.  Equal rows are judged alike.
+Nulls, empty texts: no words, so too few of them: rejected.  Equal rows are judged alike.  Texts are
+measured whole, however long; an empty table gives no rows; columns other than `doc_id` and `text`
+may have any name.
 """
 
 from __future__ import annotations

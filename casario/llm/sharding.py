@@ -9,7 +9,8 @@ that are still too large.
 Rows with the same id have the same hash and no bit can part them; where they exceed the
 limit together, their bucket overflows into pages.  Columns of the input named as ours are
 replaced.  A document above the limit is a shard
-(or page) of its own.  A null text has no bytes; a null id is hashed as the empty string.
+(or page) of its own.  A null text has no bytes; a null id is hashed as the empty string; an empty
+table has no shards.
 DataFrame functions only.
 """
 
