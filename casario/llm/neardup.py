@@ -204,10 +204,13 @@ def grouped(docs: DataFrame) -> DataFrame:
     made = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", sketch.alias("s"))
     made = written(made.select("row", "doc_id", "s.*"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("least")
-    classes = written(made.filter("n_shingles > 0").groupBy("print").agg(least, F.min("row").alias("doc"), F.count("*").alias("n")))
+    # Equal prints have equal sketches, so any of them is the representative's.
+    sizes = [F.first(c).alias(c) for c in ("n_shingles", "sketch")]
+    by_print = made.filter("n_shingles > 0").groupBy("print")
+    both = written(by_print.agg(least, F.min("row").alias("doc"), F.count("*").alias("n"), *sizes))
+    classes = both.drop("n_shingles", "sketch")
     of_class = classes.select(F.col("print").alias("of_print"), "doc", F.col("least.doc_id").alias("least_id"))
-    chosen = made.join(of_class.select("doc"), made["row"] == F.col("doc"), "left_semi")
-    sketched = chosen.select(F.col("row").alias("doc"), F.col("n_shingles").alias("n"), "sketch")
+    sketched = both.select("doc", F.col("n_shingles").alias("n"), "sketch")
     linked = written(classes.join(links(sketched, of_class, rows), "doc", "left").select("print", "n", "least", F.coalesce("component", "doc").alias("component")))
     best = written(linked.groupBy("component").agg(F.min("least").alias("best"), F.count("*").alias("classes")))
     named = dealt_join(linked, best, ["component"], "classes", F.xxhash64("print"))
