@@ -30,7 +30,7 @@ BLOCKS = (
 )
 
 _VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+"""
-_REST = rf"(?:[^>=]++|{_VALUE})*+>"
+_REST = rf"[^>=]*+(?:{_VALUE}[^>=]*+)*+>"
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
 _TOKEN = rf"</?[A-Za-z]{_REST}|<[!?][^>]*+>|(?:[^<]++|<(?![A-Za-z/!?]))++"
 # A tag that opens an element with content, and a tag name that ends a paragraph.
@@ -59,7 +59,12 @@ class Element:
     @property
     def closed(self) -> str:
         """Pattern of a closed element with up to DEPTH levels of its kind inside; group 1 is its content."""
-        return rf"{self.opening}({_content(self.tag, DEPTH)})</(?i:{self.tag})\s*+>"
+        return rf"{self.opening}({_content(self.tag, DEPTH)})</{_any_case(self.tag)}\s*+>"
+
+    @property
+    def begun(self) -> str:
+        """The same, or only the opening tag of any other; its group 1 is empty then, too."""
+        return rf"{self.opening}(?:({_content(self.tag, DEPTH)})</{_any_case(self.tag)}\s*+>)?+"
 
 
 def _content(tag: str, depth: int) -> str:
@@ -81,19 +86,29 @@ def _content(tag: str, depth: int) -> str:
 
 def _any_of(names: Sequence[str]) -> str:
     """Pattern of any of the names, tried by their first letters."""
-    rest = {name[0]: [n[1:] for n in names if n[0] == name[0]] for name in names}
+    # Paragraphs mostly end with their own closing tag.
+    rest = {name[0]: [n[1:] for n in names if n[0] == name[0]] for name in sorted(names, key=lambda name: name != "p")}
     return "|".join(f"{letter}(?:{'|'.join(sorted(ends, key=len, reverse=True))})" for letter, ends in rest.items())
 
 
 def _without(tags: str, but: str | None = None) -> str:
     """Pattern of markup without tags of these kinds, but for the elements `but`."""
-    more = f"|(?i:{but})" if but else ""
-    return rf"(?:[^<]++|<(?!/?(?i:{tags})\b){more})*+"
+    # Each round reads a tag and the text after it, which is faster than to try both.
+    other = rf"<(?!/?{_any_case(tags)}\b)"
+    return rf"[^<]*+(?:(?:{other}|(?i:{but}))[^<]*+)*+" if but else rf"[^<]*+(?:{other}[^<]*+)*+"
+
+
+def _any_case(names: str) -> str:
+    """Pattern of a name in either case, spelled out as that is faster; of several as they are."""
+    if "|" in names:
+        return f"(?i:{names})"
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in names)
 
 
 def _before(name: str) -> str:
     """What stands in a tag before an attribute of this name."""
-    return rf"(?:[^>=\s]++|\s(?!(?i:{re.escape(name)})\s*+=)|{_VALUE})*+\s(?i:{re.escape(name)})\s*+=\s*+"
+    other = rf"\s(?!{_any_case(name)}\s*+=)|{_VALUE}"
+    return rf"[^>=\s]*+(?:(?:{other})[^>=\s]*+)*+\s{_any_case(name)}\s*+=\s*+"
 
 
 def open_tag(tag: str, classes: Sequence[str] = (), attrs: Mapping[str, str] | None = None) -> str:
@@ -104,11 +119,13 @@ def open_tag(tag: str, classes: Sequence[str] = (), attrs: Mapping[str, str] | N
             rf"""(?=(?:"(?:[^"]*\s)?{n}(?:\s[^"]*)?"|'(?:[^']*\s)?{n}(?:\s[^']*)?'|{n}(?=[\s>])))"""
             for n in map(re.escape, classes)
         ]
-        tests.append(f"(?={_before('class')}{''.join(values)})")
+        # As they are listed they are found at once.
+        listed = f'"{re.escape(" ".join(classes))}"'
+        tests.append(f"(?={_before('class')}(?:{listed}|{''.join(values)}))")
     for name, wanted in (attrs or {}).items():
         v = re.escape(wanted)
         tests.append(rf"""(?={_before(name)}(?:"{v}"|'{v}'|{v}(?=[\s>])))""")
-    return rf"<(?i:{tag})(?=[\s>/]){''.join(tests)}{_REST}"
+    return rf"<{_any_case(tag)}(?=[\s>/]){''.join(tests)}{_REST}"
 
 
 def element(
@@ -140,7 +157,7 @@ def card_list(html: Column, card: Element) -> Column:
 
 def _elements(shown: Column, card: Element) -> Column:
     def found(closed_ones: Column) -> Column:
-        return F.when(_are_all(closed_ones, [shown], card), closed_ones).otherwise(by_count(shown))
+        return F.when(_are_all(closed_ones, shown, card), closed_ones).otherwise(by_count(shown))
 
     def by_count(shown: Column) -> Column:
         marked = F.split(F.regexp_replace(shown, f"({card.opening})", f"{_MARK}$1"), _MARK)
@@ -154,25 +171,43 @@ def _elements(shown: Column, card: Element) -> Column:
     return bind(F.regexp_extract_all(shown, F.lit(card.closed), F.lit(0)), found)
 
 
-def _are_all(found: Column, htmls: Sequence[Column] | Column, kind: Element) -> Column:
-    """Whether as many were found as elements of this kind begin in the texts.
+def _are_all(found: Column, html: Column, kind: Element) -> Column:
+    """Whether as many were found as elements of this kind begin in the text.
 
     Counting a text that each of them has is fast, and mostly tells: there are no more of them.
     """
 
-    def total(count: Callable[[Column], Column]) -> Column:
-        if isinstance(htmls, Column):
-            return F.aggregate(htmls, F.lit(0), lambda n, html: n + count(html))
-        return sum((count(html) for html in htmls), F.lit(0))
+    def times_at_most(text: str) -> Column:
+        left = F.octet_length(F.replace(html, F.lit(text), F.lit("")))
+        return F.size(found) * len(text.encode()) == F.octet_length(html) - left
 
-    def times(html: Column, text: str) -> Column:
-        return ((F.length(html) - F.length(F.replace(html, F.lit(text), F.lit("")))) / len(text)).cast("int")
+    result = F.size(found) == F.regexp_count(html, F.lit(kind.opening))
+    # The longest, which is likely the rarest, is counted first.
+    for text in sorted(filter(None, kind.marks), key=len):
+        result = F.when(times_at_most(text), True).otherwise(result)
+    return result
 
-    exact = F.size(found) == total(lambda html: F.regexp_count(html, F.lit(kind.opening)))
-    if not kind.marks:
-        return exact
-    most = [total(lambda html, text=text: times(html, text)) for text in kind.marks]
-    return F.when(F.size(found) == (F.least(*most) if len(most) > 1 else most[0]), True).otherwise(exact)
+
+def _are_whole(contents: Column, htmls: Sequence[Column] | Column, kind: Element) -> Column:
+    """Whether these, read by the pattern `begun`, are of closed elements none of which is in another.
+
+    An empty one may be of an element that is not closed, and one that has a text which each
+    such opening tag has may hold another; only then the tags are counted.
+    """
+
+    def exact(html: Column) -> Column:
+        return F.regexp_count(html, F.lit(kind.closed)) == F.regexp_count(html, F.lit(kind.opening))
+
+    counted = F.forall(htmls, exact) if isinstance(htmls, Column) else exact(*htmls)
+    return F.when(F.forall(contents, lambda content: (content != "") & ~_may_hold(content, kind)), True).otherwise(counted)
+
+
+def _may_hold(html: Column, kind: Element) -> Column:
+    """False only for texts without such an element: they lack what its opening tag has."""
+    if any(kind.marks):
+        return html.contains(max(kind.marks, key=len))
+    first = f"<{kind.tag[0]}"
+    return html.contains(first.lower()) | html.contains(first.upper())
 
 
 def _to_end(html: Column, tag: str) -> Column:
@@ -231,31 +266,38 @@ def texts(html: Column, pattern: Element, within: Element | None = None) -> Colu
 def shown_texts(shown: Column, pattern: Element, within: Element | None = None) -> Column:
     """The same for markup without comments and scripts, as that of cards is."""
 
-    def quick(contents: Column) -> Column:
+    def of_contents(contents: Column, whole: Column) -> Column:
         # Most elements hold one text and nothing else.
-        plain = F.forall(contents, lambda content: ~content.contains("<"))
-        return F.when(plain, contents).otherwise(F.flatten(F.transform(contents, _direct_text)))
-
-    def of_contents(contents: Column, all_found: Column) -> Column:
-        return F.when(all_found, quick(contents)).otherwise(_walk(shown, pattern, within))
+        plain = F.forall(contents, lambda content: (content != "") & ~content.contains("<"))
+        own = F.flatten(F.transform(contents, _direct_text))
+        return F.when(plain, contents).when(whole, own)
 
     def of_blocks(blocks: Column) -> Column:
+        # Without tags inside, a block holds no element.
+        tagged = F.filter(blocks, lambda block: block.contains("<"))
+        return F.when(_are_whole(blocks, [shown], within), bind(tagged, of_tagged))
+
+    def of_tagged(blocks: Column) -> Column:
         contents = F.flatten(F.transform(blocks, lambda block: _contents(block, pattern)))
-        # Blocks inside each other are fewer than their opening tags.
-        return bind(contents, lambda found: of_contents(found, _are_all(blocks, [shown], within) & _are_all(found, blocks, pattern)))
+        return bind(contents, lambda found: of_contents(found, _are_whole(found, blocks, pattern)))
 
     if within is None:
-        nodes = bind(_contents(shown, pattern), lambda contents: of_contents(contents, _are_all(contents, [shown], pattern)))
+        quick = bind(_contents(shown, pattern), lambda contents: of_contents(contents, _are_whole(contents, [shown], pattern)))
     else:
-        nodes = bind(_contents(shown, within), of_blocks)
+        quick = bind(_contents(shown, within), of_blocks)
+    nodes = bind(quick, lambda found: F.coalesce(found, _walk(shown, pattern, within)))
     pieces = lambda node: F.when(node.contains(_CUT), F.split(node, _CUT)).otherwise(F.array(node))
     whole = lambda found: F.when(shown.contains(_CUT), F.flatten(F.transform(found, pieces))).otherwise(found)
     kept = F.filter(bind(nodes, whole), lambda node: node != "")
-    return bind(kept, lambda found: F.when(shown.contains("&"), F.transform(found, lambda node: decode_entities(node))).otherwise(found))
+    read = bind(kept, lambda found: F.when(shown.contains("&"), F.transform(found, lambda node: decode_entities(node))).otherwise(found))
+    absent = F.lit(False)
+    for kind in (pattern, within) if within else (pattern,):
+        absent = absent | ~_may_hold(shown, kind)
+    return F.when(absent, F.array().cast("array<string>")).otherwise(read)
 
 
 def _contents(html: Column, pattern: Element) -> Column:
-    return F.regexp_extract_all(html, F.lit(pattern.closed), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(pattern.begun), F.lit(1))
 
 
 def _gathered(tokens: Column, memory: Column, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:

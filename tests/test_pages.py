@@ -252,3 +252,22 @@ def test_character_references(spark, text, as_text, as_attribute):
     frame = spark.createDataFrame([(text,)], "t string")
     got = frame.select(decode_entities(F.col("t")).alias("a"), decode_entities(F.col("t"), attribute=True).alias("b")).first()
     assert tuple(got) == (as_text, as_attribute)
+
+
+def test_empty_unclosed_and_nested_elements_are_told_apart_by_one_pattern(spark):
+    p, k = P.element("p"), P.element("div", ["k", "wide"])
+    html = '<p></p><p>a</p><p>b<h1>c</h1><div class="k wide">d<div class=\'wide k\'>e</div></div><div class="wide k">f'
+    frame = spark.createDataFrame([(html,)], "h string")
+    found = frame.select(P._contents(F.col("h"), p).alias("p"), P._contents(F.col("h"), k).alias("k")).first()
+    assert found.p == ["", "a", ""] and found.k == ["d<div class='wide k'>e</div>", ""]
+    assert text_list(spark, html, p) == ["a", "b"] and text_list(spark, html, k) == ["d", "e", "f"]
+    assert text_list(spark, "<p>a</p><p></p>", p) == ["a"] and text_list(spark, "<p>a</p><p>", p) == ["a"]
+    assert text_list(spark, "<div>a</div>", p) == [] and text_list(spark, html, p, P.element("p", ["k"])) == []
+
+
+def test_layouts_are_filled_without_searching_the_page(spark):
+    from workload import inputs
+
+    pages = inputs.listing_pages(spark, "/root/testdata/sf0.001")
+    assert "{preco}" not in pages._jdf.queryExecution().optimizedPlan().toString()
+    assert pages.where(F.col("html").rlike(r"\{[a-z]+\}") | F.col("html").isNull()).count() == 0

@@ -5,6 +5,8 @@ The same rules are written once for Spark here and once as SQL in `oracle.py`.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -170,14 +172,18 @@ _LAYOUTS = {
 
 def listing_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A stored result page per raw listing, in the layout of its portal."""
+
+    def filled(layout: str) -> Column:
+        # Pieces of the layout by turns with names of columns.
+        pieces = re.split(r"\{(\w+)\}", layout)
+        value = lambda name: F.replace(F.coalesce(name, F.lit("")), F.lit("&"), F.lit("&amp;"))
+        return F.concat(*[value(piece) if i % 2 else F.lit(piece) for i, piece in enumerate(pieces)])
+
     portal, html = F.lit(None), F.lit(None)
     for origem, (name, layout) in _LAYOUTS.items():
         here = F.col("origem") == origem
         portal = F.when(here, F.lit(name)).otherwise(portal)
-        html = F.when(here, F.lit(layout)).otherwise(html)
-    for name in ("localizacao", "area", "quartos", "banheiros", "vagas", "preco", "condo"):
-        value = F.replace(F.coalesce(name, F.lit("")), F.lit("&"), F.lit("&amp;"))
-        html = F.replace(html, F.lit(f"{{{name}}}"), value)
+        html = F.when(here, filled(layout)).otherwise(html)
     return listings_raw(spark, sf).select(
         "origem",
         "date_ref",
