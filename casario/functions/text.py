@@ -69,7 +69,8 @@ def strip_query(url: Column) -> Column:
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """`use` of a value that is computed once, however often `use` mentions it."""
-    return F.get(F.transform(F.array(value), use), 0)
+    # The end of a fold over nothing: unlike an array's entry, what `use` gives is not copied.
+    return F.aggregate(F.array(), value, lambda kept, _: kept, use)
 
 
 def decode_entities(text: Column, attribute: bool = False) -> Column:

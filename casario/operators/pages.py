@@ -31,6 +31,9 @@ BLOCKS = (
 
 _VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+"""
 _REST = rf"[^>=]*+(?:{_VALUE}[^>=]*+)*+>"
+# The rest of a tag that has no other tag's beginning in it; it ends where _REST does.
+_PLAIN = r"""[^<>=]*+(?:=\s*+(?:"[^"<]*+"|'[^'<]*+'|[^\s<>"'][^\s<>]*+|(?=>))[^<>=]*+)*+>"""
+_HIDES = "!--|(?i:script|style)"
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
 _TOKEN = rf"</?[A-Za-z]{_REST}|<[!?][^>]*+>|(?:[^<]++|<(?![A-Za-z/!?]))++"
 # A tag that opens an element with content, and a tag name that ends a paragraph.
@@ -61,26 +64,40 @@ class Element:
         """Pattern of a closed element with up to DEPTH levels of its kind inside; group 1 is its content."""
         return rf"{self.opening}({_content(self.tag, DEPTH)})</{_any_case(self.tag)}\s*+>"
 
+    @property
+    def plain(self) -> str:
+        """The same in markup that hides nothing, with plain tags; group 1 is the element but for its first `<`.
+
+        Where something is hidden, or a tag of this kind is not plain, it matches all the rest and
+        group 1 is empty; unless that is in an element, which is not found then.
+        """
+        tag = _any_case(self.tag)
+        whole = rf"{self.opening[1:].removesuffix(_REST)}{_PLAIN}{_content(self.tag, DEPTH, _PLAIN, _HIDES)}</{tag}\s*+>"
+        return rf"<(?:({whole})|(?:{_HIDES}|{tag}(?=[\s>/])(?!{_PLAIN}))(?s:.*))"
+
     @property
     def begun(self) -> str:
         """The same, or only the opening tag of any other; its group 1 is empty then, too."""
         return rf"{self.opening}(?:({_content(self.tag, DEPTH)})</{_any_case(self.tag)}\s*+>)?+"
 
 
-def _content(tag: str, depth: int) -> str:
-    """Pattern of what an element of this kind holds, with its kind inside `depth` times at most."""
+def _content(tag: str, depth: int, rest: str = _REST, never: str = "") -> str:
+    """Pattern of what an element of this kind holds, with its kind inside `depth` times at most.
+
+    `rest` is that of its kind's tags inside; no tag begins as `never` says.
+    """
     if tag == "p":
-        return _without(_any_of(BLOCKS))
+        return _without(_any_of(BLOCKS), never=never)
     if tag == "li":
         # Items inside are those of lists inside.
-        inner = _without("li|ul|ol")
+        inner = _without("li|ul|ol", never=never)
         for _ in range(depth):
-            inner = _without("li|ul|ol", rf"<li\b{_REST}{inner}</li\s*+>")
-            inner = _without("li|ul|ol", rf"<(?:ul|ol)\b{_REST}{inner}</(?:ul|ol)\s*+>")
+            inner = _without("li|ul|ol", rf"<li\b{rest}{inner}</li\s*+>", never)
+            inner = _without("li|ul|ol", rf"<(?:ul|ol)\b{rest}{inner}</(?:ul|ol)\s*+>", never)
         return inner
-    inner = _without(tag)
+    inner = _without(tag, never=never)
     for _ in range(depth):
-        inner = _without(tag, rf"<(?i:{tag})\b{_REST}{inner}</(?i:{tag})\s*+>")
+        inner = _without(tag, rf"<(?i:{tag})\b{rest}{inner}</(?i:{tag})\s*+>", never)
     return inner
 
 
@@ -91,10 +108,10 @@ def _any_of(names: Sequence[str]) -> str:
     return "|".join(f"{letter}(?:{'|'.join(sorted(ends, key=len, reverse=True))})" for letter, ends in rest.items())
 
 
-def _without(tags: str, but: str | None = None) -> str:
-    """Pattern of markup without tags of these kinds, but for the elements `but`."""
+def _without(tags: str, but: str | None = None, never: str = "") -> str:
+    """Pattern of markup without tags of these kinds, but for the elements `but`, nor any that begins as `never` says."""
     # Each round reads a tag and the text after it, which is faster than to try both.
-    other = rf"<(?!/?{_any_case(tags)}\b)"
+    other = rf"<(?!/?{_any_case(tags)}\b{never and '|'}{never})"
     return rf"[^<]*+(?:(?:{other}|(?i:{but}))[^<]*+)*+" if but else rf"[^<]*+(?:{other}[^<]*+)*+"
 
 
@@ -138,7 +155,7 @@ def visible(html: Column) -> Column:
     """The page without comments and scripts; a mark keeps the text around them apart."""
     clean = F.regexp_replace(html, _HIDDEN, _CUT)
     # Beginning with one plain character, the test passes over text fast.
-    return F.when(html.rlike("<(?:!--|(?i:script|style))"), clean).otherwise(html)
+    return F.when(html.rlike(f"<(?:{_HIDES})"), clean).otherwise(html)
 
 
 def cards(pages: DataFrame, card: Element, html: str = "html") -> DataFrame:
@@ -152,7 +169,17 @@ def cards(pages: DataFrame, card: Element, html: str = "html") -> DataFrame:
 
 def card_list(html: Column, card: Element) -> Column:
     """The elements that match, from opening to closing tag, in page order."""
-    return bind(visible(html), lambda shown: _elements(shown, card))
+    careful = bind(visible(html), lambda shown: _elements(shown, card))
+    if not any(card.marks):
+        return careful
+
+    def checked(found: Column) -> Column:
+        # Plain tags do not overlap and each has the mark, so if there are as many marks these are all.
+        marks = F.regexp_count(html, F.lit(re.escape(max(card.marks, key=len))))
+        sure = ~F.array_contains(found, "") & (F.size(found) == marks)
+        return F.when(sure, F.transform(found, lambda one: F.concat(F.lit("<"), one))).otherwise(careful)
+
+    return bind(F.regexp_extract_all(html, F.lit(card.plain), F.lit(1)), checked)
 
 
 def _elements(shown: Column, card: Element) -> Column:
@@ -178,8 +205,7 @@ def _are_all(found: Column, html: Column, kind: Element) -> Column:
     """
 
     def times_at_most(text: str) -> Column:
-        left = F.octet_length(F.replace(html, F.lit(text), F.lit("")))
-        return F.size(found) * len(text.encode()) == F.octet_length(html) - left
+        return F.size(found) == F.regexp_count(html, F.lit(re.escape(text)))
 
     result = F.size(found) == F.regexp_count(html, F.lit(kind.opening))
     # The longest, which is likely the rarest, is counted first.
@@ -205,11 +231,17 @@ def _are_whole(contents: Column, htmls: Sequence[Column] | Column, kind: Element
 def _may_hold(html: Column, kind: Element) -> Column:
     """False only for texts without such an element: they lack what its opening tag has."""
     if any(kind.marks):
-        return html.contains(max(kind.marks, key=len))
+        return html.contains(_from_rarest(max(kind.marks, key=len)))
     first = f"<{kind.tag[0]}"
     return html.contains(first.lower()) | html.contains(first.upper())
 
 
+def _from_rarest(text: str) -> str:
+    """The end of a text from the character on that markup has least: it is searched for faster."""
+    often = " etaoinsrhldcumpfgb<>/=\"-wyvkxjqz"
+    return text[min(range(max(1, len(text) - 5)), key=lambda i: (-often.find(text[i]) if text[i] in often else -len(often), i)) :]
+
+
 def _to_end(html: Column, tag: str) -> Column:
     """`html`, which begins with an opening tag, up to where that element ends; else NULL."""
     if tag == "li":
@@ -287,9 +319,17 @@ def shown_texts(shown: Column, pattern: Element, within: Element | None = None)
         quick = bind(_contents(shown, within), of_blocks)
     nodes = bind(quick, lambda found: F.coalesce(found, _walk(shown, pattern, within)))
     pieces = lambda node: F.when(node.contains(_CUT), F.split(node, _CUT)).otherwise(F.array(node))
-    whole = lambda found: F.when(shown.contains(_CUT), F.flatten(F.transform(found, pieces))).otherwise(found)
-    kept = F.filter(bind(nodes, whole), lambda node: node != "")
-    read = bind(kept, lambda found: F.when(shown.contains("&"), F.transform(found, lambda node: decode_entities(node))).otherwise(found))
+
+    def read_in_full(found: Column) -> Column:
+        kept = F.filter(F.flatten(F.transform(found, pieces)), lambda node: node != "")
+        return F.transform(kept, lambda node: decode_entities(node))
+
+    def tidied(found: Column) -> Column:
+        # The few texts are searched for marks and references, not the whole markup.
+        special = bind(F.array_join(found, ""), lambda text: text.contains(_CUT) | text.contains("&"))
+        return F.when(special, read_in_full(found)).otherwise(F.filter(found, lambda node: node != ""))
+
+    read = bind(nodes, tidied)
     absent = F.lit(False)
     for kind in (pattern, within) if within else (pattern,):
         absent = absent | ~_may_hold(shown, kind)

@@ -271,3 +271,37 @@ def test_layouts_are_filled_without_searching_the_page(spark):
     pages = inputs.listing_pages(spark, "/root/testdata/sf0.001")
     assert "{preco}" not in pages._jdf.queryExecution().optimizedPlan().toString()
     assert pages.where(F.col("html").rlike(r"\{[a-z]+\}") | F.col("html").isNull()).count() == 0
+
+
+def test_cards_of_plain_pages_are_read_in_one_pass(spark):
+    k = P.element("div", ["k", "wide"])
+    one = '<div id="a>b" class="k wide">a<div>b</div></div>'
+    pages = (
+        f"<p>x</p>{one}<DIV>z</DIV>{one}",
+        f"{one}<!-- {one}", f"{one}<ScripT>{one}", f'<div class="k wide">a<style>b</style></div>{one}',
+        f'<div title="<i">{one}', f"<div {one}", f"<div title='> {one}", f"{one}<div",
+        f'{one}<div class="k wide">', f'<div class="k wide">{one}</div>', f"wide{one}", "", None,
+    )
+    frame = spark.createDataFrame([(i, html) for i, html in enumerate(pages)], "i int, h string")
+    by_pattern = F.regexp_extract_all("h", F.lit(k.plain), F.lit(1))
+    read = P.bind(P.visible(F.col("h")), lambda shown: P._elements(shown, k))
+    rows = frame.select(by_pattern.alias("p"), P.card_list(F.col("h"), k).alias("c"), read.alias("r")).orderBy("i").collect()
+    assert rows[0].p == [one[1:]] * 2 and rows[0].c == [one] * 2
+    assert all("" in row.p for row in rows[1:3] + rows[4:7])
+    # Otherwise the marks tell that more may begin than were found.
+    assert [len(row.p) for row in rows[7:11]] == [1] * 4 and rows[3].p == [""] and rows[11].p == []
+    assert [row.c for row in rows] == [row.r for row in rows]
+
+
+def test_what_is_bound_is_not_copied(spark):
+    frame = spark.createDataFrame([(["a", None],), (None,)], "a array<string>")
+    bound = P.bind(F.col("a"), lambda a: F.concat(a, a))
+    assert "transform(" not in frame.select(bound)._jdf.queryExecution().optimizedPlan().toString()
+    assert column(frame.select(bound.alias("b")), "b") == [["a", None, "a", None], None]
+
+
+def test_texts_are_read_the_same_with_and_without_marks(spark):
+    p = P.element("p")
+    assert text_list(spark, "<p>a<!-- x -->&lt;</p><p></p><p>b</p>", p) == ["a", "<", "b"]
+    assert text_list(spark, "&amp;<!-- x --><p>a</p><p> </p>", p) == ["a", " "]
+    assert [P._from_rarest(text) for text in ("style-module__list", "text-nowrap", "ab", "çé")] == ["__list", "xt-nowrap", "ab", "çé"]

@@ -95,3 +95,14 @@ def test_month_filter_reaches_the_mart_scan(spark, tmp_path):
     mart = spark.read.parquet(str(tmp_path / "m"))
     text = plan(report.movers(mart, "1997-05"))
     assert "EqualTo(date_ref,1997-05)" in text and "TakeOrderedAndProject" in text
+
+
+def test_lines_are_shuffled_for_orders_and_parts_only(spark, whole_plan):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = whole_plan(inputs.listings_raw(spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Below an exchange by customer there are orders only.
+    above = text[: text.index("FileScan parquet [l_orderkey")]
+    assert above.count("Exchange hashpartitioning") == 2 and "hashpartitioning(o_custkey" not in above

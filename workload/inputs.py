@@ -60,12 +60,16 @@ def listings_raw(spark: SparkSession, sf: str) -> DataFrame:
 
     Lines of every 13th order are listed again in the following month.
     """
-    lines = (
-        table(spark, sf, "lineitem")
-        .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # Orders meet customers before the many lines do, which are shuffled once less.
+    placed = (
+        table(spark, sf, "orders")
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    lines = (
+        table(spark, sf, "lineitem")
+        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     month = lambda day: F.substring(day.cast("date").cast("string"), 1, 7)
